@@ -84,9 +84,9 @@ def parse_numbers(c: Column, rule: str | None) -> Column | None:
     """Column-wide numeric rule chosen from a profile: epoch_ms, epoch_s or serial."""
     value = c.try_cast("double")
     if rule == "epoch_ms":
-        return F.timestamp_micros(F.round(value * 1000).cast("long"))
+        return F.timestamp_micros(F.round(value * 1000).try_cast("long"))
     if rule == "epoch_s":
-        return F.timestamp_micros(F.round(value * 1_000_000).cast("long"))
+        return F.timestamp_micros(F.round(value * 1_000_000).try_cast("long"))
     if rule == "serial":
         return serial_day(c)
     return None

@@ -8,7 +8,7 @@ and arrival dates stay inside generated code with no calendar join and no shuffl
 from __future__ import annotations
 
 from bisect import bisect_left
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -108,6 +108,3 @@ def arrival(entry: Column, promised_days: Column, calendar: WorkCalendar | None)
         return F.timestamp_micros(F.unix_micros(entry.cast("timestamp")) + whole)
     return calendar.add(entry, F.when(days >= 0, F.floor(days)).otherwise(F.ceil(days)) + 1)
 
-
-def first_days(start: date, count: int) -> list[date]:
-    return [start + timedelta(days=i) for i in range(count)]
