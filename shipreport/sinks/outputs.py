@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shipreport.functions.moments import month_label
-from shipreport.functions.text import blank_to_null, clean, col, file_label, joined_list, strip_scheme
+from shipreport.functions.text import blank_to_null, col, file_label, joined_list, strip_scheme
 from shipreport.operators.runstate import status_counts
 from shipreport.schema import NUMERIC_OUTPUT, URL_COLUMNS
 
@@ -115,11 +115,10 @@ def append_snapshot(df: DataFrame, path: str, report: Column | str, as_of) -> No
 
 
 def project_extract(table: DataFrame) -> DataFrame:
-    """The four columns reports need from the account sheet, under their own names."""
-    columns = {
-        "CUST_ID": "CUST_ID", "CUST_NAME": "CUST_NAME", "BIG_GROUPING_CUST": "BIG_GROUPING_CUST", "CATEGORY": "CATEGORY"}
-    have = {c.strip().upper(): c for c in table.columns}
-    return table.select(*[clean(col(have[source])).alias(name) for name, source in columns.items()])
+    """The four columns reports need from the account sheet; its second id column is the account id."""
+    source = {"CUST_ID": "CUST_ID_2", "CUST_NAME": "CUST_NAME", "BIG_GROUPING_CUST": "BIG_GROUPING_CUST",
+              "CATEGORY": "CATEGORY"}
+    return table.select(*[col(old).alias(new) for new, old in source.items()])
 
 
 def refresh_projects(table: DataFrame, path: str) -> None:
