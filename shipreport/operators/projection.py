@@ -49,20 +49,22 @@ def select_report(
     exclude: list[str] = (),
     rename: list[str] | None = None,
     order: list[str] | None = None,
+    carry: list[str] = (),
 ) -> DataFrame:
     """Listed columns (blank where absent), minus exclusions, renamed by position, then ordered.
 
-    Renaming needs exactly one new name per selected column and is left out otherwise.
+    Renaming needs exactly one new name per selected column and is left out
+    otherwise. Columns in ``carry`` (output labels) follow untouched.
     """
     if selected:
-        selected = unique_names(with_insurance_id(list(selected)))
-        out = df.select(*[col(c) if c in df.columns else F.lit("").alias(c) for c in selected])
+        names = unique_names(with_insurance_id(list(selected)))
     else:
-        out = df
-    out = out.drop(*exclude)
-    if selected and rename and len(rename) == len(selected):
-        names = dict(zip(selected, rename))
-        out = out.toDF(*[names[c] for c in out.columns])
+        names = [c for c in df.columns if c not in carry]
+    new = dict(zip(names, rename)) if selected and rename and len(rename) == len(names) else {}
+    shown = {
+        new.get(c, c): col(c) if c in df.columns else F.lit("")
+        for c in names if c not in exclude
+    }
     if order:
-        out = out.select(*[col(c) for c in order if c in out.columns])
-    return out
+        shown = {c: shown[c] for c in order if c in shown}
+    return df.select(*[value.alias(name) for name, value in shown.items()], *map(col, carry))

@@ -137,47 +137,27 @@ def build_report(
     if config.filters:
         df = df.where(tree(df, config.filters))
 
-    settings = {"period": config.period, "split_by_id": config.split_by_id,
-                "split_by_col_val": config.split_by_col_val, "jumlah_bulan": config.jumlah_bulan,
-                "append_to_sheet": config.append_to_sheet,
-                "split_by_month": splits_by_month(config.period, config.split_by_month)}
-    labels = split_labels(df, settings, active_date)
+    labels = output_labels(config, active_date)
     df = df.withColumns(labels)
     if "NO" in df.columns:
         order = sort_order(df) if sort_order else [col(active_date).asc_nulls_last(), col("AWB")]
         df = number_rows(df, order, per=list(labels))
-    rows = select_report(
-        df.select("*", F.struct(*[col(c) for c in labels] or [F.lit(0).alias("none")]).alias("_labels")),
-        [*selected, "_labels"] if selected else None, exclude=config.exclude_cols,
-        rename=[*config.rename_cols, "_labels"] if config.rename_cols else None,
-        order=[*config.cust_ref["col_order"], "_labels"] if config.cust_ref.get("col_order") else None,
-    )
-    if not selected:
-        rows = rows.drop(*labels)
-    return rows.select(*[col(c) for c in rows.columns if c != "_labels"],
-                       *[F.col("_labels").getField(c).alias(c) for c in labels])
-
-
-def label_columns(config: ReportConfig) -> list[str]:
-    """Names of the output label columns ``build_report`` adds for this config."""
-    settings = {"period": config.period, "split_by_id": config.split_by_id, "jumlah_bulan": config.jumlah_bulan,
-                "append_to_sheet": config.append_to_sheet,
-                "split_by_month": splits_by_month(config.period, config.split_by_month)}
-    names = ["year_label"] if (config.period or "").lower() == "year" else []
-    if config.split_by_id or config.split_by_col_val:
-        names.append("output_label")
-    elif config.append_to_sheet:
-        return names
-    if settings["split_by_month"] and config.jumlah_bulan:
-        names.append("period_label")
-    return names
+    return select_report(
+        df, selected, exclude=config.exclude_cols, rename=config.rename_cols,
+        order=config.cust_ref.get("col_order"), carry=list(labels))
+
+
+def output_labels(config: ReportConfig, active_date: str = "TGL_ENTRY") -> dict[str, Column]:
+    """The label columns that say which output a row belongs to."""
+    return split_labels(
+        active_date, period=config.period, by_id=config.split_by_id, by_column=config.split_by_col_val,
+        one_sheet=config.append_to_sheet,
+        monthly=bool(config.jumlah_bulan) and splits_by_month(config.period, config.split_by_month))
 
 
 def write_report(rows: DataFrame, config: ReportConfig, path: str) -> None:
     """Clean the cells and write one folder per output label."""
-    labels = label_columns(config)
-    cleaned = clean_output(rows.drop(*labels)) if not labels else clean_output(rows)
-    write_split(cleaned, path, {c: col(c) for c in labels})
+    write_split(clean_output(rows), path, {name: col(name) for name in output_labels(config)})
 
 
 def combine(reports: dict[str, DataFrame]) -> DataFrame:

@@ -38,16 +38,15 @@ def workbook(df: DataFrame, shippers: DataFrame, zones: DataFrame, codes: DataFr
         col("RESULT_LAST_ATTEMPT"), col("RESULT_2ND_ATTEMPT"), col("RESULT_1ST_ATTEMPT")))
     df = df.withColumn("CODING RETURN", reason)
     df = attach(df, codes, col("CODING RETURN"), col("Coding Undel"), {"REASON RETURN": "Remark_English"})
-    band = F
-    for end, label in BANDS:
-        band = band.when(entry <= F.lit(end).cast("timestamp"), label)
+    band = F.coalesce(*[F.when(entry <= F.lit(end).cast("timestamp"), label) for end, label in BANDS],
+                      F.lit("CEK MANUAL"))
     nothing = F.lit(None).cast("string")
     df = df.withColumns({
         "1ST ATTEMPT": F.when(col("STATUS_POD") == "Success", F.coalesce(col("DATE_1ST_ATTEMPT"), col("TGL_RECEIVED"))),
         "PERIODE": F.month(entry).cast("string"),
         "PERIODE LABEL": F.date_format(entry, "M.MMMM yyyy"),
         "PERIODE WEEK": F.concat(F.lit("WEEK "), calendar_week(entry).cast("string")),
-        "PERIODE BY REQUEST": band.otherwise("CEK MANUAL"),
+        "PERIODE BY REQUEST": band,
         "STATUS_POD_2": status,
         "STATUS_POD3": F.when(status == "Success", "Success")
         .when(status.isin("Return Shipper", "RU Origin", "AWB Cancel"), "Return").otherwise("On Follow Up"),

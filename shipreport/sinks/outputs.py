@@ -27,8 +27,8 @@ def clean_output(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def by_account(df: DataFrame) -> Column:
-    return file_label(F.trim(col("ID_ACCOUNT")))
+def by_account(name: str = "ID_ACCOUNT") -> Column:
+    return file_label(F.trim(col(name)))
 
 
 def by_value(name: str) -> Column:
@@ -44,18 +44,29 @@ def by_year(name: str) -> Column:
     return F.date_format(col(name), "yyyy")
 
 
-def split_labels(df: DataFrame, config: dict, active_date: str) -> dict[str, Column]:
-    """Output label columns by priority: account, then column value, then month; by year on top."""
+def split_labels(
+    active_date: str,
+    *,
+    period: str | None = None,
+    by_id: bool = False,
+    by_column: str | None = None,
+    one_sheet: bool = False,
+    monthly: bool = False,
+) -> dict[str, Column]:
+    """Output label columns by priority: account, then column value, then month; by year on top.
+
+    Reports gathered on one sheet are split by year only.
+    """
     labels: dict[str, Column] = {}
-    if (config.get("period") or "").lower() == "year":
+    if (period or "").strip().lower() == "year":
         labels["year_label"] = by_year(active_date)
-    if config.get("split_by_id"):
-        labels["output_label"] = by_account(df)
-    elif config.get("split_by_col_val"):
-        labels["output_label"] = by_value(config["split_by_col_val"])
-    elif config.get("append_to_sheet"):
+    if by_id:
+        labels["output_label"] = by_account()
+    elif by_column:
+        labels["output_label"] = by_value(by_column)
+    elif one_sheet:
         return labels
-    if config.get("split_by_month") and config.get("jumlah_bulan"):
+    if monthly:
         labels["period_label"] = by_month(active_date)
     return labels
 
