@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 HOUR = 3_600_000_000
@@ -60,14 +62,31 @@ def serial_day(c: Column) -> Column:
     return F.when((value >= 2) & (value < 2_958_466), moment)
 
 
+# What each pattern letter run may look like in a text.
+_PIECES = {
+    "yyyy": r"\d{4}", "yy": r"\d{2}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]{3}", "M": "(0?[1-9]|1[0-2])",
+    "d": r"(0?[1-9]|[12]\d|3[01])", "H": r"([01]?\d|2[0-3])", "m": r"[0-5]?\d", "s": r"[0-5]?\d",
+}
+
+
+def _shape(pattern: str) -> str:
+    """Regex of the texts a date pattern can read."""
+    runs = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z])", pattern)
+    return "^" + "".join(_PIECES[letter + more] if letter else re.escape(mark) for letter, more, mark in runs) + "$"
+
+
 def with_formats(text: Column, formats: list[tuple[str, bool]]) -> Column:
-    """First format that fits; two-digit years from 69 on belong to the last century."""
+    """First format that fits; two-digit years from 69 on belong to the last century.
+
+    A pattern is tried only on texts of its shape: a failed parse costs an
+    exception per row, the shape test does not.
+    """
     tries = []
     for pattern, short_year in formats:
         parsed = F.try_to_timestamp(text, F.lit(pattern))
         if short_year:
             parsed = F.when(F.year(parsed) >= 2069, F.timestamp_add("YEAR", F.lit(-100), parsed)).otherwise(parsed)
-        tries.append(parsed)
+        tries.append(F.when(text.rlike(_shape(pattern)), parsed))
     return F.coalesce(*tries)
 
 
