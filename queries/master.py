@@ -224,6 +224,18 @@ projects, PROJECTS = reference("customer", {
     "CATEGORY": pick("c_nationkey", ["RETAIL", "BANK", "ECOM", ""]),
 })
 
+status_map, STATUS_MAP = reference("nation", {
+    "Status": pick("n_nationkey", ["Success", "Undel", "On Process", "Return Shipper", "Hold WH Destination", "RU Origin"]),
+    "Grouping BIG Status": pick("n_nationkey", ["Delivered", "Problem", "Process", "Return", "Problem", "Return"]),
+    "AJ Car Status": pick("n_nationkey", ["Done", "Open", "Open", "Back", None, "Back"]),
+    "KETERANGAN AJ CAR": "concat('ket ', CAST(n_nationkey AS STRING))",
+}, "n_nationkey < 6")
+area_table, AREA = reference("nation", {
+    "REGION": pick("n_nationkey", REGIONS),
+    "AREA MANDIRI": "concat('AREA ', CAST(n_nationkey AS STRING))",
+    "SLA": "CASE WHEN n_nationkey = 3 THEN NULL ELSE n_nationkey + 2 END",
+}, "n_nationkey < 5")
+
 
 def holiday_values() -> str:
     return ", ".join(f"(DATE '{h.isoformat()}')" for h in HOLIDAYS)

@@ -136,6 +136,12 @@ def delivery_code(code: Column) -> Column:
     return F.when(code.isNull() | (F.trim(code) == ""), "OPC").otherwise(code)
 
 
+def delivery_parts(code: Column) -> dict[str, Column]:
+    """The code, its relation or reason number, and its S/R flag."""
+    filled = delivery_code(code)
+    return {"code": filled, "relation": _code_part(filled, 0), "flag": _code_part(filled, 1)}
+
+
 def pickup_columns(df: DataFrame) -> DataFrame:
     """Recipient, relation, reason, remark and closing flags of a pickup report."""
     df = df.withColumn("CODING", delivery_code(col("CODING")))
