@@ -104,19 +104,22 @@ def attempt_reason(spark, sf):
 
 
 @query("status_map", f"""WITH s AS ({view_sql("ROW_KEY", "STATUS_POD")}), m AS ({STATUS_MAP})
-SELECT ROW_KEY, STATUS_POD, "Grouping BIG Status" AS "Remark Return", "AJ Car Status", "KETERANGAN AJ CAR"
-FROM s LEFT JOIN m ON STATUS_POD = "Status\"""")
+SELECT ROW_KEY, STATUS_POD, g AS "Remark Return", a AS "AJ Car Status", k AS "KETERANGAN AJ CAR" FROM s LEFT JOIN (
+  SELECT "Status" AS st, "Grouping BIG Status" AS g, "AJ Car Status" AS a, "KETERANGAN AJ CAR" AS k FROM m
+  QUALIFY row_number() OVER (PARTITION BY "Status" ORDER BY row_idx) = 1) ON STATUS_POD = st""")
 def client_status(spark, sf):
-    return lookups.client_status(shipments(spark, sf, "ROW_KEY", "STATUS_POD"), status_map(spark, sf))
+    return lookups.client_status(
+        shipments(spark, sf, "ROW_KEY", "STATUS_POD"), status_map(spark, sf), order=["row_idx"])
 
 
 @query("area_sla", f"""WITH s AS ({view_sql("ROW_KEY", "REGIONAL", "AGING", "CARRER")}), a AS ({AREA})
-SELECT ROW_KEY, REGIONAL, AGING, "AREA MANDIRI", a."SLA" AS "SLA OOB",
-  CASE WHEN a."SLA" - AGING < 0 THEN 'Over SLA' ELSE 'On Time SLA' END AS CARRER
-FROM s LEFT JOIN a ON REGIONAL = a.REGION""")
+SELECT ROW_KEY, REGIONAL, AGING, "AREA MANDIRI", b."SLA" AS "SLA OOB",
+  CASE WHEN b."SLA" - AGING < 0 THEN 'Over SLA' ELSE 'On Time SLA' END AS CARRER
+FROM s LEFT JOIN (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY REGION ORDER BY row_idx) = 1) b
+  ON REGIONAL = b.REGION""")
 def area_sla(spark, sf):
     df = shipments(spark, sf, "ROW_KEY", "REGIONAL", "AGING", "CARRER")
-    return lookups.area_promise(df, area_table(spark, sf))
+    return lookups.area_promise(df, area_table(spark, sf), order=["row_idx"])
 
 
 _NAMED = f"""n AS (SELECT trim(ltrim(regexp_replace(trim(CUST_ID), '\\.0$', ''), chr(39))) AS k,
@@ -177,8 +180,8 @@ def accounts_of_reports(spark, sf):
         F.concat_ws(" ", F.upper("c_mktsegment"), F.col("c_nationkey").cast("string")).alias("group_name"),
         F.when(F.col("c_nationkey") < 5, F.concat(F.lit("'"), F.col("c_custkey").cast("string"))).alias("account_id"),
     ).distinct()
-    brand = customers.limit(1).select(F.lit("CUSTOMER#00000002").alias("group_name"),
-                                      F.lit(None).cast("string").alias("account_id"))
+    brand = customers.select(F.lit("CUSTOMER#00000002").alias("group_name"),
+                             F.lit(None).cast("string").alias("account_id")).distinct()
     accounts = projects(spark, sf)
     return lookups.explicit_accounts(
         configs.unionByName(brand), lookups.group_accounts(accounts),
@@ -238,8 +241,6 @@ def key_backfill(spark, sf):
 
 
 _PICKUP_INPUTS = ["AWB", "REFNO_UOB", "STATUS_POD", "RECEIVED/REASON", "CODING", "REASON RETURN", "TGL_RECEIVED"]
-_RELATION = {}
-
 
 def _relation_case(part: int) -> str:
     from shipreport.functions.derive import DELIVERY_CODES
@@ -351,20 +352,32 @@ def override_counts(spark, sf):
 
 WORDS = ["ring", "blue bolt", "satpam", "gear box", "red widgets"]
 
-# Longest common subsequence and token-set score in SQL, as an independent second way.
-_SCORE = """
-t AS (SELECT n.name, w.word, list_distinct(string_split_regex(n.name, '\\s+')) AS ta,
-        list_distinct(string_split_regex(w.word, '\\s+')) AS tb FROM names n, words w),
-d AS (SELECT *, array_to_string(list_sort(list_filter(ta, lambda x: list_contains(tb, x))), ' ') AS sect,
-        array_to_string(list_sort(list_filter(ta, lambda x: NOT list_contains(tb, x))), ' ') AS da,
-        array_to_string(list_sort(list_filter(tb, lambda x: NOT list_contains(ta, x))), ' ') AS db FROM t)"""
-
-
-def receiver_words() -> list[str]:
-    return WORDS
-
-
-@query("receiver_clean")
+# Longest common subsequence by rows of a table, and the token-set score over it, in SQL.
+_LCS = """list_last(list_reduce(list_transform(string_split(da, ''), lambda c: [ord(c)]), lambda r, x:
+  list_reduce(list_transform(range(1, length(db) + 1), lambda j: [CAST(j AS INTEGER)]), lambda acc, j:
+    acc || [CASE WHEN ord(db[j[1]]) = x[1] THEN r[j[1]] + 1 ELSE greatest(r[j[1] + 1], acc[len(acc)]) END], [0]),
+  list_resize([0], length(db) + 1, 0)))"""
+_RECEIVER_SQL = f"""WITH s AS ({view_sql("ROW_KEY", "RECEIVED/REASON", "CONSIGNEE_NAME")}),
+x AS (SELECT *, trim(coalesce("RECEIVED/REASON", '')) AS txt FROM s),
+n AS (SELECT DISTINCT lower(txt) AS name FROM x WHERE length(txt) BETWEEN 1 AND 15),
+t AS (SELECT name, word, list_distinct(string_split(name, ' ')) AS ta, list_distinct(string_split(word, ' ')) AS tb
+  FROM n, (SELECT unnest({WORDS}) AS word)),
+d AS (SELECT name, word, array_to_string(list_sort(list_filter(ta, lambda y: list_contains(tb, y))), ' ') AS sect,
+  array_to_string(list_sort(list_filter(ta, lambda y: NOT list_contains(tb, y))), ' ') AS da,
+  array_to_string(list_sort(list_filter(tb, lambda y: NOT list_contains(ta, y))), ' ') AS db FROM t),
+l AS (SELECT *, CASE WHEN da = '' OR db = '' THEN 0 ELSE {_LCS} END AS lcs,
+  CASE WHEN sect = '' THEN 0 ELSE 1 END AS j, length(sect) AS ls, length(da) AS la, length(db) AS lb FROM d),
+f AS (SELECT name, CASE WHEN ls > 0 AND (la = 0 OR lb = 0) THEN 100.0 ELSE greatest(
+    100 - 100.0 * (la + lb - 2 * lcs) / (2 * (ls + j) + la + lb),
+    CASE WHEN ls > 0 THEN 100 - 100.0 * (j + la) / (2 * ls + j + la) ELSE 0 END,
+    CASE WHEN ls > 0 THEN 100 - 100.0 * (j + lb) / (2 * ls + j + lb) ELSE 0 END) END AS score FROM l),
+bad AS (SELECT DISTINCT name FROM f WHERE score >= 85)
+SELECT ROW_KEY, CONSIGNEE_NAME, CASE WHEN bad.name IS NOT NULL
+  THEN coalesce(nullif(trim(coalesce(CONSIGNEE_NAME, '')), ''), txt) ELSE txt END AS "RECEIVED/REASON"
+FROM x LEFT JOIN bad ON lower(txt) = bad.name"""
+
+
+@query("receiver_clean", _RECEIVER_SQL)
 def receiver_clean(spark, sf):
     from shipreport.operators.receivers import clean_receivers
 

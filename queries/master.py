@@ -177,15 +177,12 @@ def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*[F.expr(COLUMNS[c][1]).alias(c) for c in columns])
 
 
-def reference(source: str, columns: dict[str, str], where: str = "") -> tuple:
+def reference(source: str, columns: dict[str, str]) -> tuple:
     """A reference table as columns over one given table: (reader, SELECT)."""
-    shown = ", ".join(f'{e} AS "{n}"' for n, e in columns.items())
-    text = f"SELECT {shown} FROM {source}" + (f" WHERE {where}" if where else "")
+    text = f"SELECT {', '.join(f'{e} AS \"{n}\"' for n, e in columns.items())} FROM {source}"
 
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = table(spark, sf_dir, source)
-        df = df.where(where) if where else df
-        return df.select(*[F.expr(e).alias(n) for n, e in columns.items()])
+        return table(spark, sf_dir, source).select(*[F.expr(e).alias(n) for n, e in columns.items()])
 
     return read, text
 
@@ -225,16 +222,18 @@ projects, PROJECTS = reference("customer", {
 })
 
 status_map, STATUS_MAP = reference("nation", {
+    "row_idx": "n_nationkey",
     "Status": pick("n_nationkey", ["Success", "Undel", "On Process", "Return Shipper", "Hold WH Destination", "RU Origin"]),
     "Grouping BIG Status": pick("n_nationkey", ["Delivered", "Problem", "Process", "Return", "Problem", "Return"]),
     "AJ Car Status": pick("n_nationkey", ["Done", "Open", "Open", "Back", None, "Back"]),
     "KETERANGAN AJ CAR": "concat('ket ', CAST(n_nationkey AS STRING))",
-}, "n_nationkey < 6")
+})
 area_table, AREA = reference("nation", {
-    "REGION": pick("n_nationkey", REGIONS),
+    "row_idx": "n_nationkey",
+    "REGION": pick("n_nationkey", REGIONS[:5]),
     "AREA MANDIRI": "concat('AREA ', CAST(n_nationkey AS STRING))",
     "SLA": "CASE WHEN n_nationkey = 3 THEN NULL ELSE n_nationkey + 2 END",
-}, "n_nationkey < 5")
+})
 
 
 def holiday_values() -> str:
