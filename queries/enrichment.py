@@ -122,15 +122,15 @@ def area_sla(spark, sf):
     return lookups.area_promise(df, area_table(spark, sf), order=["row_idx"])
 
 
-_NAMED = f"""n AS (SELECT trim(ltrim(regexp_replace(trim(CUST_ID), '\\.0$', ''), chr(39))) AS k,
+_NAMED = f"""nm AS (SELECT trim(ltrim(regexp_replace(trim(CUST_ID), '\\.0$', ''), chr(39))) AS k,
   arg_min(trim(replace(CUST_NAME, chr(160), ' ')), row_idx) AS name FROM ({PROJECTS})
   WHERE trim(replace(CUST_NAME, chr(160), ' ')) <> '' GROUP BY 1)"""
 
 
 @query("account_name", f"""WITH s AS ({view_sql("ROW_KEY", "ID_ACCOUNT", "GROUPING_SHIPPER")}), {_NAMED}
-SELECT ROW_KEY, ID_ACCOUNT, GROUPING_SHIPPER, coalesce(n.name, GROUPING_SHIPPER) AS CUST_NAME,
-  concat_ws(' ', ID_ACCOUNT, coalesce(n.name, GROUPING_SHIPPER)) AS "DEPT PZC"
-FROM s LEFT JOIN n ON ltrim(ID_ACCOUNT, chr(39)) = n.k""")
+SELECT ROW_KEY, ID_ACCOUNT, GROUPING_SHIPPER, coalesce(nm.name, GROUPING_SHIPPER) AS CUST_NAME,
+  concat_ws(' ', ID_ACCOUNT, coalesce(nm.name, GROUPING_SHIPPER)) AS "DEPT PZC"
+FROM s LEFT JOIN nm ON ltrim(ID_ACCOUNT, chr(39)) = nm.k""")
 def account_name(spark, sf):
     df = shipments(spark, sf, "ROW_KEY", "ID_ACCOUNT", "GROUPING_SHIPPER")
     return lookups.account_label(df, projects(spark, sf), order=["row_idx"])

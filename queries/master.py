@@ -55,6 +55,8 @@ COLUMNS: dict[str, tuple[str, str]] = {
     "TGL_RECEIVED": ("", "CASE WHEN l_linestatus = 'O' AND l_linenumber % 3 = 0 THEN NULL"
                          " ELSE l_shipdate + INTERVAL '1' HOUR * (l_partkey % 24) END"),
     "ID_ACCOUNT": ("o", "concat(CASE WHEN o_custkey % 2 = 0 THEN chr(39) ELSE '' END, CAST(o_custkey AS STRING))"),
+    "NATION_ACCOUNT": ("oc", "concat(CASE WHEN c_nationkey % 2 = 0 THEN chr(39) ELSE '' END,"
+                             " CAST(80000000 + c_nationkey AS STRING))"),
     "BIG_GROUPING_CUST": ("oc", "c_mktsegment"),
     "GROUPING_SHIPPER": ("oc", "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat('GRP ', c_mktsegment) END"),
     "CATEGORY": ("o", pick("o_custkey", ["RETAIL", "BANK", "ECOM"])),

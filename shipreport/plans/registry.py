@@ -32,18 +32,28 @@ class Context:
 
 @dataclass(frozen=True)
 class Derivation:
+    """``outputs`` are the columns that call for it; ``changes`` are columns it also rewrites."""
+
     name: str
     outputs: tuple[str, ...]
     inputs: tuple[str, ...]
     run: Callable[[DataFrame, Context], DataFrame]
+    changes: tuple[str, ...] = ()
+
+    @property
+    def written(self) -> set[str]:
+        return {*self.outputs, *self.changes}
 
 
 REGISTRY: dict[str, Derivation] = {}
 
 
-def register(name: str, outputs: list[str], inputs: list[str], run: Callable[[DataFrame, Context], DataFrame]) -> None:
+def register(
+    name: str, outputs: list[str], inputs: list[str], run: Callable[[DataFrame, Context], DataFrame],
+    changes: list[str] = (),
+) -> None:
     """Add a derivation; applications may add their own."""
-    REGISTRY[name] = Derivation(name, tuple(outputs), tuple(inputs), run)
+    REGISTRY[name] = Derivation(name, tuple(outputs), tuple(inputs), run, tuple(changes))
 
 
 def _columns(make: Callable[[DataFrame, Context], dict]) -> Callable[[DataFrame, Context], DataFrame]:
@@ -80,8 +90,8 @@ register("period", ["DAY", "PERIODE", "WEEK", "WEEK_OF_YEAR", "TIME_ENTRY"], ["T
          _columns(lambda df, ctx: derive.period_columns(col("TGL_ENTRY"))))
 register("received", ["DATE_RECEIVED", "TIME_RECEIVED"], ["TGL_RECEIVED"],
          _columns(lambda df, ctx: derive.received_columns(col("TGL_RECEIVED"))))
-register("client_status", ["AJ Car Status", "KETERANGAN AJ CAR", "Remark Return", "STATUS_POD"],
-         status.FULL_STATUS_INPUTS, _client_status)
+register("client_status", ["AJ Car Status", "KETERANGAN AJ CAR", "Remark Return"],
+         status.FULL_STATUS_INPUTS, _client_status, changes=["STATUS_POD", "DEST", "CODING"])
 register("short_status", ["STATUS_POD"], _STATUS, lambda df, ctx: status.short_status(df))
 register("aging", ["AGING_1ST", "CAREER_1ST", "AGING_POD", "CARRER_POD"],
          ["TGL_ENTRY", "1ST_ATTEMPT_DATE", "TGL_RECEIVED", "ETD", "STATUS_POD"],
@@ -100,8 +110,8 @@ register("customer_literals", ["NAMA ORIGIN", "CUSTOMER"], [],
          _columns(lambda df, ctx: {"NAMA ORIGIN": F.lit("JNE DKI JAKARTA"), "CUSTOMER": F.lit("HO")}))
 register("contacts", ["CONTACT", "NOTELP"], [],
          _columns(lambda df, ctx: {c: F.lit("*****") for c in ("CONTACT", "NOTELP")}))
-register("area", ["AREA MANDIRI", "SLA OOB", "CARRER"], ["REGIONAL", "AGING"],
-         lambda df, ctx: lookups.area_promise(df, ctx.ref("area_sla")))
+register("area", ["AREA MANDIRI", "SLA OOB"], ["REGIONAL", "AGING"],
+         lambda df, ctx: lookups.area_promise(df, ctx.ref("area_sla")), changes=["CARRER"])
 register("address", ["ADDRESS"], [], _address)
 register("customer_name", ["CUST_NAME"], ["ID_ACCOUNT"],
          lambda df, ctx: lookups.account_name(df, ctx.ref("project_reference")))
@@ -158,7 +168,8 @@ register("code_remark", ["CODING_REMARKS"], ["CODING"],
 def needed_for(columns: list[str]) -> list[Derivation]:
     """Derivations that fill any of the columns, each after those it takes input from.
 
-    Two derivations of the same column run in the order they were registered.
+    Two derivations of the same column, or two that feed each other, run in the
+    order they were registered.
     """
     wanted = [d for d in REGISTRY.values() if set(d.outputs) & set(columns)]
     place = {d.name: i for i, d in enumerate(REGISTRY.values())}
@@ -168,10 +179,11 @@ def needed_for(columns: list[str]) -> list[Derivation]:
         for earlier in wanted:
             if earlier is later:
                 continue
-            if set(earlier.outputs) & set(later.outputs):
+            mutual = earlier.written & set(later.inputs) and later.written & set(earlier.inputs)
+            if earlier.written & later.written or mutual:
                 if place[earlier.name] < place[later.name]:
                     before.append(earlier.name)
-            elif set(earlier.outputs) & set(later.inputs):
+            elif earlier.written & set(later.inputs):
                 before.append(earlier.name)
         sorter.add(later.name, *before)
     return [REGISTRY[name] for name in sorter.static_order()]

@@ -90,6 +90,7 @@ def build_report(
     config: ReportConfig,
     ctx: Context,
     *,
+    accounts: DataFrame | None = None,
     patch: DataFrame | None = None,
     listing: DataFrame | None = None,
     receiver_words: list[str] = (),
@@ -98,12 +99,13 @@ def build_report(
 ) -> DataFrame:
     """The rows of one report, as one lazy plan.
 
-    ``shipments`` is the partition-pruned master. ``patch`` holds manual
+    ``shipments`` is the partition-pruned master. ``accounts`` (column account_id)
+    is used where the config lists no account of its own. ``patch`` holds manual
     corrections, applied before and after the derivations when the config asks
     for them. ``sort_order`` gives the order of the running number NO.
     """
     start, end = period_window(config.period, config.jumlah_bulan, ctx.as_of)
-    df = select_shipments(shipments, window=("TGL_ENTRY", start, end), accounts=config.id_account,
+    df = select_shipments(shipments, window=("TGL_ENTRY", start, end), accounts=config.id_account or accounts,
                           statuses=config.selected_statuses)
     version = "TGL_TARIK_REPORT" if "TGL_TARIK_REPORT" in df.columns else "TGL_ENTRY"
     df = latest_per_key(df, "AWB", version, tie_break=tie_break)

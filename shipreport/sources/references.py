@@ -81,7 +81,7 @@ def read_list_folders(spark: SparkSession, root: str, months: int, as_of: date)
 
 def split_fields(line: Column) -> Column:
     """Trimmed non-empty fields of a semicolon-separated line."""
-    return F.filter(F.transform(F.split(line, ";"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(line, ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 # Short codes of the pickup categories.
@@ -132,8 +132,9 @@ def read_pickups(spark: SparkSession, root: str, months: int, as_of: date) -> Da
     )
     named = lines.select(
         "line",
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+        # a text may also be a folder of part files, as Spark writes it
+        F.regexp_extract("path", r"([^/]+)/[^/]+\.txt(/[^/]+)?$", 1).alias("folder"),
+        F.regexp_extract("path", r"([^/]+\.txt)(/[^/]+)?$", 1).alias("file_name"),
     )
     month = F.element_at(F.split(F.col("CYCLE NAME"), r"\s+"), -2)
     return parse_pickups(named).withColumn("PERIODE UOB", month)

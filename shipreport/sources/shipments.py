@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shipreport.functions.moments import MONTHS
 from shipreport.functions.predicates import account_in, date_window, status_in, stored_account_in
-from shipreport.functions.text import col
+from shipreport.functions.text import account_key, col
 from shipreport.operators.projection import normalise_headers, present_columns
 from shipreport.session import apply_settings
 
@@ -96,7 +96,7 @@ def select_shipments(
     *,
     columns: list[str] | None = None,
     window: tuple[str, date, date] | None = None,
-    accounts: list[str] | None = None,
+    accounts: list[str] | DataFrame | None = None,
     statuses: list[str] | None = None,
     normalised_ids: bool = True,
 ) -> DataFrame:
@@ -104,11 +104,15 @@ def select_shipments(
 
     The date window is compared in the column's own type and the account filter
     on stored ids (``normalised_ids``), so both are evaluated by the file reader.
-    Ids with padding need ``normalised_ids=False``.
+    Ids with padding need ``normalised_ids=False``. A long account list is better
+    given as a table (column account_id) and becomes a semi join.
     """
     if window:
         df = df.where(date_window(df, *window))
-    if accounts:
+    if isinstance(accounts, DataFrame):
+        wanted = accounts.select(account_key(col("account_id")).alias("_wanted")).distinct()
+        df = df.join(wanted, account_key(col("ID_ACCOUNT")) == F.col("_wanted"), "left_semi")
+    elif accounts:
         match = stored_account_in if normalised_ids else account_in
         df = df.where(match(col("ID_ACCOUNT"), accounts))
     if statuses:

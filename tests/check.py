@@ -69,8 +69,9 @@ def compare(spark, con, name, make, sql, sf_dir):
            if coarse(f.dataType.typeName()) != kinds[f.name]}
     note = f"types differ {off} " if off else ""
     if got != want:
-        extra = [r for r in got if r not in set(want)][:3]
-        lost = [r for r in want if r not in set(got)][:3]
+        have, need = set(got), set(want)
+        extra = [r for r in got if r not in need][:3]
+        lost = [r for r in want if r not in have][:3]
         return f"{note}rows {len(got)} / {len(want)}; cols {sorted(names)}\n   spark only {extra}\n   sql only {lost}"
     return note
 
