@@ -15,6 +15,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the next operator then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode. Wide status and delay
+    # stages exceed that as one method; split into small ones they run many times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keep "bulan=01" text; inference would turn it into the number 1.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
