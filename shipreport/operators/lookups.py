@@ -8,11 +8,14 @@ execution can split a hot key of the fact side without touching the result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shipreport.functions.text import account_key, clean, code_key, col, zip_text
+from shipreport.functions.text import account_key, account_text, clean, code_key, col, zip_text
 from shipreport.operators.asof import fill_forward
 from shipreport.operators.dedup import first_per_key, require_unique
+from shipreport.session import cut
 
 
 def require_columns(table: DataFrame, names: list[str], what: str) -> DataFrame:
@@ -75,14 +78,15 @@ def dest_lookup(fact: DataFrame, zones: DataFrame, *, order: list[str] | None =
     """District, city, province and zip of the destination.
 
     A missing zip is taken from the next higher code of the same prefix. That
-    search runs on the distinct destination codes; the fact rows are joined once.
+    search runs on the distinct destination codes, which are stored once because
+    the search reads them several times; the fact rows are joined once.
     """
     require_columns(zones, ZONE_DEST, "zone table")
     take = ["KECAMATAN", "NAMA KAB/KOTA", "PROVINSI", "KODE POS"]
     key = F.upper(F.trim(col("DEST")))
     known = one_row_per_key(zones, key, {c: c for c in take}, order)
     known = known.withColumn("KODE POS", zip_text(col("KODE POS")))
-    codes = fact.select(key.alias("_k")).where("_k is not null").distinct().join(known, "_k", "left")
+    codes = cut(fact.select(key.alias("_k")).where("_k is not null").distinct()).join(known, "_k", "left")
     filled = fill_forward(codes, "_k", "KODE POS", anchors=known)
     fact = fact.withColumn("DEST", key)
     return attach(fact, filled, col("DEST"), col("_k"), {c: c for c in take}, unique=True)
@@ -206,8 +210,6 @@ def group_accounts(projects: DataFrame) -> DataFrame:
     The list of ids stays a relation (order by first_idx): a report semi-joins it,
     so a group with very many accounts never becomes one array value.
     """
-    from shipreport.functions.text import account_text
-
     rows = projects.select(
         F.nullif(F.upper(clean(col("BIG_GROUPING_CUST"))), F.lit("")).alias("group_name"),
         account_text(col("CUST_ID")).alias("account_id"),
@@ -222,10 +224,6 @@ def accounts_by_name(projects: DataFrame, names: list[str], *, literal: bool = F
     The names come from the report configs, so the match is a narrow expression
     over the project table instead of a join of every name with every customer.
     """
-    import re
-
-    from shipreport.functions.text import account_text
-
     upper = F.upper(col("CUST_NAME"))
     hits = [F.when(upper.rlike(re.escape(n.upper()) if literal else n.upper()), F.lit(n)) for n in names]
     rows = projects.select(

@@ -69,8 +69,8 @@ def _is_blank(c: Column) -> Column:
     return c.isNull() | text.isin("", BLANK)
 
 
-def _prepared(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[str]]:
-    """Filtered source with date fields reduced to days or months; unknown fields are left out."""
+def _filtered(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[str]]:
+    """Source rows of the pivot and its known row and column fields; unknown ones are left out."""
     rows = [c for c in pivot.rows if c in df.columns]
     columns = [c for c in pivot.columns if c in df.columns]
     for name, value in pivot.filters:
@@ -79,15 +79,6 @@ def _prepared(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[s
     if pivot.hide_blank:
         for name in rows + columns:
             df = df.where(~_is_blank(col(name)))
-    dates = [c for c in rows + columns if _is_date_field(c)]
-    if dates:
-        one_month = F.lit(False)
-        if "TGL_ENTRY" in df.columns:
-            month = F.trunc(col("TGL_ENTRY"), "month")
-            one_month = df.agg((F.min(month) == F.max(month)).alias("one")).scalar()
-        df = df.withColumns({
-            c: F.when(one_month, F.to_date(col(c))).otherwise(F.trunc(col(c), "month")) for c in dates
-        })
     return df, rows, columns
 
 
@@ -115,10 +106,33 @@ class _Parts:
 
 
 def _base(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[str], _Parts]:
-    source, rows, columns = _prepared(df, pivot)
-    measures = [m for m in pivot.values if m.field in df.columns]
-    parts = _Parts(measures)
-    return source.groupBy(*map(col, rows + columns)).agg(*parts.first()), rows, columns, parts
+    """Aggregated parts per member combination; date fields become days, or months over several months.
+
+    Dates are first aggregated by day. Whether all entries lie in one month is
+    then read from those few rows, so the facts are not computed a second time.
+    """
+    source, rows, columns = _filtered(df, pivot)
+    parts = _Parts([m for m in pivot.values if m.field in df.columns])
+    dates = [c for c in rows + columns if _is_date_field(c)]
+    if not dates:
+        return source.groupBy(*map(col, rows + columns)).agg(*parts.first()), rows, columns, parts
+
+    keys = [F.to_date(col(c)).alias(c) if c in dates else col(c) for c in rows + columns]
+    if "TGL_ENTRY" not in df.columns:
+        base, one_month = source.groupBy(*keys).agg(*parts.first()), F.lit(False)
+    else:
+        month = F.trunc(col("TGL_ENTRY"), "month")
+        span = [F.min(month).alias("_from"), F.max(month).alias("_to")]
+        base = source.groupBy(*keys).agg(*parts.first(), *span)
+        # Page filters must not narrow the question, which is asked of the whole sheet.
+        asked = df.agg(*span) if pivot.filters or pivot.hide_blank else base.agg(
+            F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+        one_month = asked.select((F.col("_from") == F.col("_to")).alias("one")).scalar()
+    members = [
+        F.when(one_month, col(c)).otherwise(F.trunc(col(c), "month")).alias(c) if c in dates else col(c)
+        for c in rows + columns
+    ]
+    return base.groupBy(*members).agg(*parts.merged()), rows, columns, parts
 
 
 def _join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -46,10 +46,9 @@ def empty_names(names: DataFrame, words: list[str]) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def close(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: any(token_set_score(t, w) >= THRESHOLD for w in listed))
+        return texts.map(lambda t: t in listed or any(token_set_score(t, w) >= THRESHOLD for w in listed))
 
-    exact = F.col("name").isin(listed)
-    return names.where(exact).select("name").unionByName(names.where(~exact).where(close("name")).select("name"))
+    return names.where(close("name")).select("name")
 
 
 def clean_receivers(
