@@ -28,15 +28,15 @@ def unique_names(names: list[str]) -> list[str]:
     return list(seen.values())
 
 
-def with_insurance_id(names: list[str]) -> list[str]:
-    """INSURANCE_ID behind the goods description, else behind the last master column, else in front."""
+def with_insurance_id(names: list[str], master: list[str] = MASTER_COLUMNS) -> list[str]:
+    """INSURANCE_ID behind the goods description, else behind the last column in master order, else in front."""
     if "INSURANCE_ID" in names:
         return list(names)
     at = 0
     if "GOODS_DESCR" in names:
         at = names.index("GOODS_DESCR") + 1
     else:
-        known = [c for c in MASTER_COLUMNS if c in names]
+        known = [c for c in master if c in names]
         if known:
             at = names.index(known[-1]) + 1
     return names[:at] + ["INSURANCE_ID"] + names[at:]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from shipreport.functions.moments import serial_day
 from shipreport.functions.text import col
 
-# Master column names by type, each group in master order.
+# Master column names by type; every other column is text.
 TIMESTAMPS = [
     "TGL_ENTRY", "RECEIVING_DATE", "OUTBOUND_MANIFEST_DATE", "INBOUND_MANIFEST_DATE", "DATE_RUNSHEET",
     "TGL_RECEIVED", "DATE_1ST_ATTEMPT", "DATE_2ND_ATTEMPT", "DATE_LAST_ATTEMPT", "DATE_CONNOTE_RETURN_RT",
@@ -16,21 +16,23 @@ TIMESTAMPS = [
 ]
 LONGS = ["QTY", "GOODS_VALUE", "AMOUNT", "AGING", "ETD", "SLA", "BILNOTE_AMOUNT", "AGING_1ST", "AGING_POD"]
 DOUBLES = ["WEIGHT"]
-TEXTS = [
-    "AWB", "ID_ACCOUNT", "SHIPPER_NAME", "CONSIGNEE_NAME", "ADDR1", "ADDR2", "ADDR3", "CONTACT", "NOTELP", "NOREF",
-    "ORIGIN", "DEST", "SERVICE", "GOODS_DESCR", "INSURANCE_ID", "INTRUCTION", "NOTICE", "HOLD_REASON", "RECEIVING",
-    "OUTBOUND_MANIFEST", "INBOUND_MANIFEST", "MANIFEST_TRANSIT_AGEN", "HVO_NO", "HVI_NO", "RUNSHEET_NO", "CODING",
-    "STATUS_POD", "STATUS_LATITUDE", "STATUS_LONGITUDE", "CARRER", "RECEIVED/REASON", "AWB_CANCEL", "COD_FLAG",
-    "BILNOTE_FLAG", "REFNO_UOB", "RESULT_1ST_ATTEMPT", "RESULT_2ND_ATTEMPT", "RESULT_LAST_ATTEMPT",
-    "CONNOTE_RETURN_RT", "CONNOTE_RETURN_RF", "CONFIRM_SHIPMENT_UNDEL", "IREG_CODE", "URL_TTD", "URL_FOTO",
-    "NO_CNOTE_FW", "DEST_FW", "CODING_STATUS_FW", "DESC_STATUS_FW", "PICKUP_STATUS", "STATUS_POD_UPDATE",
-    "CODING_UNDEL", "REASON RETURN", "BIG_GROUPING_CUST", "GROUPING_SHIPPER", "CATEGORY", "3 LC DEST", "REGIONAL",
-    "ZONA", "PROVINSI", "NAMA KAB/KOTA 2", "CAREER_1ST", "CARRER_POD", "URL_CHAT",
+# The same columns in the order the master lists them.
+MASTER_COLUMNS = [
+    "AWB", "ID_ACCOUNT", "SHIPPER_NAME", "TGL_ENTRY", "CONSIGNEE_NAME", "ADDR1", "ADDR2", "ADDR3", "CONTACT", "NOTELP",
+    "NOREF", "ORIGIN", "DEST", "SERVICE", "QTY", "WEIGHT", "GOODS_DESCR", "INSURANCE_ID", "GOODS_VALUE", "AMOUNT",
+    "INTRUCTION", "NOTICE", "HOLD_REASON", "RECEIVING", "RECEIVING_DATE", "OUTBOUND_MANIFEST", "OUTBOUND_MANIFEST_DATE",
+    "INBOUND_MANIFEST", "INBOUND_MANIFEST_DATE", "MANIFEST_TRANSIT_AGEN", "HVO_NO", "HVI_NO", "HVI_DATE", "RUNSHEET_NO",
+    "DATE_RUNSHEET", "CODING", "STATUS_POD", "TGL_RECEIVED", "STATUS_LATITUDE", "STATUS_LONGITUDE", "AGING", "ETD", "SLA",
+    "CARRER", "RECEIVED/REASON", "AWB_CANCEL", "COD_FLAG", "BILNOTE_FLAG", "BILNOTE_AMOUNT", "REFNO_UOB",
+    "DATE_1ST_ATTEMPT", "RESULT_1ST_ATTEMPT", "DATE_2ND_ATTEMPT", "RESULT_2ND_ATTEMPT", "DATE_LAST_ATTEMPT",
+    "RESULT_LAST_ATTEMPT", "CONNOTE_RETURN_RT", "DATE_CONNOTE_RETURN_RT", "CONNOTE_RETURN_RF", "CONFIRM_SHIPMENT_UNDEL",
+    "IREG_CODE", "URL_TTD", "URL_FOTO", "NO_CNOTE_FW", "DEST_FW", "CODING_STATUS_FW", "DESC_STATUS_FW", "HBG_DATE",
+    "1ST_HVO_DATE", "MANIFEST_TRANSIT_SUBAGEN_DATE", "MANIFEST_INBOUND_SUBAGEN_DATE", "PICKUP_DATE", "PICKUP_STATUS",
+    "1ST_RUNSHEET_DATE", "URL_CHAT", "TGL_TARIK_REPORT", "STATUS_POD_UPDATE", "1ST_ATTEMPT_DATE", "AGING_1ST",
+    "CAREER_1ST", "AGING_POD", "CARRER_POD", "CODING_UNDEL", "REASON RETURN", "3 LC DEST", "NAMA KAB/KOTA 2", "REGIONAL",
+    "ZONA", "GROUPING_SHIPPER", "CATEGORY", "BIG_GROUPING_CUST", "PROVINSI",
 ]
 
-# Address-like columns first, as the master lists them; a report may pass its own list instead.
-MASTER_COLUMNS = TEXTS + LONGS + DOUBLES + TIMESTAMPS
-
 URL_COLUMNS = ["URL_TTD", "URL_FOTO", "URL_CHAT"]
 NUMERIC_OUTPUT = ["QTY", "WEIGHT", "AMOUNT", "BILNOTE_AMOUNT"]
 
