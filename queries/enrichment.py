@@ -206,7 +206,7 @@ _LATEST_SQL = """d AS (SELECT * FROM s QUALIFY row_number() OVER
   (PARTITION BY AWB ORDER BY TGL_TARIK_REPORT DESC NULLS LAST, ROW_KEY DESC) = 1)"""
 
 
-def _listing(spark, sf):
+def listing(spark, sf):
     return table(spark, sf, "orders").select(*[F.expr(e).alias(n) for n, e in _LIST.items()])
 
 
@@ -225,7 +225,7 @@ FROM k LEFT JOIN d ON key = chr(39) || d.AWB""")
 def reflist_left(spark, sf):
     master = latest(spark, sf, "AMOUNT", "CODING")
     # the key pair is given the wrong way round on purpose
-    return listjoin.join_customer_list(_listing(spark, sf), master, ("AWB", "No Resi"), requested=["AMOUNT"])
+    return listjoin.join_customer_list(listing(spark, sf), master, ("AWB", "No Resi"), requested=["AMOUNT"])
 
 
 _KEY_EXAMPLES = ["GEN.25/03/26-06"]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.derived import _CAL, _aging_sql, _flag_sql, CALENDAR
-from queries.enrichment import _NAMED, _PATCHED, patch_table
+from queries.derived import _CAL, _aging_sql, _flag_sql, _STATUS_COLUMNS, CALENDAR, STATUS_STEPS
+from queries.enrichment import _LIST_SQL, _NAMED, _PATCHED, listing, patch_table
 from queries.master import AS_OF, PROJECTS, UNDEL_CODES, ZONES, pick, projects, shipments, undel_codes, view_sql, zones
 from queries.registry import query, table
 from shipreport.functions.text import col
@@ -426,3 +426,41 @@ UNION ALL SELECT 'DUA', AWB, NULL, NULL, '', NULL, CASE WHEN trim(CODING) = 'C01
   WHEN trim(CODING) = 'C02' THEN 'Claim Damage' ELSE coalesce(STATUS_POD_UPDATE, '') END, CODING FROM m""")
 def combined_report(spark, sf):
     return combine({c["group_name"]: _report(spark, sf, c) for c in expand_combined([_COMBINED])})
+
+
+_MONTHLY = [*_STATUS_COLUMNS, "AWB", "TGL_TARIK_REPORT", "BIG_GROUPING_CUST", "AMOUNT", "SERVICE"]
+
+
+@query("monthly_report", f"""WITH s0 AS ({view_sql(*_MONTHLY)}),
+s AS (SELECT * FROM (SELECT * FROM s0 QUALIFY row_number() OVER
+    (PARTITION BY AWB ORDER BY TGL_TARIK_REPORT DESC NULLS LAST, ROW_KEY DESC) = 1)
+  WHERE BIG_GROUPING_CUST IN ('MACHINERY', 'FURNITURE') AND TGL_ENTRY >= TIMESTAMP '1998-05-01 09:30:00'
+    AND TGL_ENTRY < TIMESTAMP '1998-08-01 09:30:00'), {STATUS_STEPS},
+l AS (SELECT *, nullif(regexp_replace(trim("No Resi"), '\\s+', '', 'g'), '') AS k0 FROM ({_LIST_SQL})),
+kl AS (SELECT *, CASE WHEN starts_with(k0, chr(39)) THEN k0 ELSE chr(39) || k0 END AS key FROM l),
+m AS (SELECT * FROM z WHERE coalesce(SERVICE LIKE 'REG%', false))
+SELECT kl."TGL PICKUP", kl.AMOUNT, chr(39) || m.AWB AS AWB, kl.CODING, m.final_status AS STATUS_POD,
+  CASE WHEN m.AWB IS NULL THEN NULL WHEN lower(trim(final_status)) IN ('success', 'return shipper') THEN 'x' ELSE '' END AS IS_CLOSE,
+  CASE WHEN m.AWB IS NOT NULL THEN '' END AS INSURANCE_ID
+FROM kl LEFT JOIN m ON key = chr(39) || m.AWB""")
+def monthly_report(spark, sf):
+    from datetime import datetime
+
+    from shipreport.plans.monthly import build_monthly_report, newest_rows
+
+    config = ReportConfig.from_dict({
+        "group_name": ["MACHINERY", "FURNITURE"], "jumlah_bulan": 3, "selected_cols": ["AWB", "CODING", "STATUS_POD", "IS_CLOSE"],
+        "filter_cols": [["SERVICE", "starts_with", "REG"]],
+        "cust_ref": {"key_col": ["No Resi", "AWB"], "selected_ref_cols": ["TGL PICKUP", "AMOUNT"]}})
+    base = newest_rows(shipments(spark, sf, *_MONTHLY), [col("ROW_KEY").desc()])
+    return build_monthly_report(base, config, Context(AS_OF), datetime(1998, 7, 15, 9, 30), listing=listing(spark, sf))
+
+
+@query("split_by_column", f"""WITH s AS ({view_sql("TGL_ENTRY", "ZONA")})
+SELECT 'date' AS split, {_label_sql("TGL_ENTRY")} AS sheet, count(*) AS n_rows FROM s WHERE TGL_ENTRY IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'value', ZONA, count(*) FROM s WHERE ZONA IS NOT NULL GROUP BY 2""")
+def split_by_column(spark, sf):
+    df = shipments(spark, sf, "TGL_ENTRY", "ZONA")
+    sheets = [df.select(F.lit(split).alias("split"), outputs.by_column(c).alias("sheet")).where("sheet is not null")
+              for split, c in (("date", "TGL_ENTRY"), ("value", "ZONA"))]
+    return sheets[0].unionByName(sheets[1]).groupBy("split", "sheet").agg(F.count(F.lit(1)).alias("n_rows"))

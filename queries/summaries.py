@@ -265,3 +265,16 @@ def date_profile(spark, sf):
     for n, r in {"c_serial": "serial", "c_ms": "epoch_ms", "c_s": "epoch_s", "c_tgl": "text"}.items())}""")
 def date_rules(spark, sf):
     return profile_dates(_raw(spark, sf), list(_RAW))
+
+
+_MIXED = ("CASE event_id % 5 WHEN 0 THEN '3/4/2024 10:05' WHEN 1 THEN '25-12-24' WHEN 2 THEN '2024-04-03 01:02:03'"
+          " WHEN 3 THEN NULL ELSE '15 February 2024' END")
+
+
+@query("parse_dates_mixed", f"""WITH r AS (SELECT event_id, {_MIXED} AS t FROM events)
+SELECT event_id, CASE WHEN t LIKE '%/%' THEN try_strptime(t, '%d/%m/%Y %H:%M') WHEN t LIKE '__-__-__' THEN try_strptime(t, '%d-%m-%y')
+  ELSE try_strptime(t, ['%Y-%m-%d %H:%M:%S', '%d %B %Y']) END AS parsed FROM r""")
+def parse_dates_mixed(spark, sf):
+    from shipreport.functions.moments import parse_mixed
+
+    return table(spark, sf, "events").select("event_id", parse_mixed(F.expr(_MIXED)).alias("parsed"))

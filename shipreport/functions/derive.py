@@ -197,31 +197,47 @@ def delivery_template(df: DataFrame, calendar: WorkCalendar, as_of) -> DataFrame
     }).drop("_ok")
 
 
+# Both spellings of the aging columns; the last one is made where a table has neither.
+AGING_NAMES = {
+    "attempt": ["1ST ATTEMPT", "1ST_ATTEMPT_DATE"],
+    "attempt_aging": ["AGING 1st ATTEMPT", "AGING_1ST"],
+    "attempt_flag": ["CAREER 1st ATTEMPT", "CAREER_1ST"],
+    "aging": ["AGING POD", "AGING_POD"],
+    "flag": ["CARRER POD", "CARRER_POD"],
+}
+
+
+def first_present(df: DataFrame, names: list[str]) -> str:
+    """The first of the names the table has, else the last one."""
+    return next((n for n in names if n in df.columns), names[-1])
+
+
 def aging_flags(df: DataFrame, calendar: WorkCalendar) -> DataFrame:
     """Working-day aging and on-time flags of the first attempt and the delivery.
 
     Only successful rows carry them; values already present there are kept.
     """
-    kinds = {"1ST_ATTEMPT_DATE": "timestamp", "AGING_1ST": "long", "CAREER_1ST": "string", "AGING_POD": "long",
-             "CARRER_POD": "string"}
-    kinds = {name: df.schema[name].dataType if name in df.columns else kind for name, kind in kinds.items()}
+    n = {role: first_present(df, names) for role, names in AGING_NAMES.items()}
+    kinds = {"attempt": "timestamp", "attempt_aging": "long", "aging": "long"}
     ok = is_success(col("STATUS_POD"))
     df = df.withColumns({
-        name: F.when(ok, col(name)) if name in df.columns else F.lit(None).cast(kind) for name, kind in kinds.items()
-    })
-    df = df.withColumns({
-        "AGING_1ST": F.coalesce(
-            col("AGING_1ST"), F.when(ok, calendar.aging(col("TGL_ENTRY"), col("1ST_ATTEMPT_DATE")))),
-        "AGING_POD": F.coalesce(col("AGING_POD"), F.when(ok, calendar.aging(col("TGL_ENTRY"), col("TGL_RECEIVED")))),
+        name: F.when(ok, col(name)) if name in df.columns else F.lit(None).cast(kinds.get(role, "string"))
+        for role, name in n.items()
     })
 
-    def flag(aging: Column) -> Column:
-        return F.when(ok & (aging <= col("ETD")), "Ontime SLA").when(ok & (aging > col("ETD")), "Over SLA")
+    def aged(name: str, end: str):
+        days = F.when(ok, calendar.aging(col("TGL_ENTRY"), col(end)))
+        return F.coalesce(col(name).try_cast("long"), days)
 
-    return df.withColumns({
-        "CAREER_1ST": F.coalesce(col("CAREER_1ST"), flag(col("AGING_1ST"))),
-        "CARRER_POD": F.coalesce(col("CARRER_POD"), flag(col("AGING_POD"))),
-    })
+    df = df.withColumns({n["attempt_aging"]: aged(n["attempt_aging"], n["attempt"]),
+                         n["aging"]: aged(n["aging"], "TGL_RECEIVED")})
+
+    def flag(kept: str, aging: str) -> Column:
+        on_time = F.when(ok & (col(aging) <= col("ETD")), "Ontime SLA").when(ok & (col(aging) > col("ETD")), "Over SLA")
+        return F.coalesce(col(kept), on_time)
+
+    return df.withColumns({n["attempt_flag"]: flag(n["attempt_flag"], n["attempt_aging"]),
+                           n["flag"]: flag(n["flag"], n["aging"])})
 
 
 # Service family by prefix, tried in this order.

@@ -38,12 +38,14 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def join_customer_list(
-    listing: DataFrame, master: DataFrame, keys: tuple[str, str], *, requested: list[str] = ()
+    listing: DataFrame, master: DataFrame, keys: tuple[str, str], *, requested: list[str] = (),
+    list_wins: bool = False,
 ) -> DataFrame:
     """Every list row with the master row of the same key.
 
     ``keys`` is (list key, master key); a swapped pair is put right. Columns both
-    sides have come from the master, except the requested ones and the list key.
+    sides have come from the master, except the requested ones and the list key;
+    with ``list_wins`` they all come from the list.
     """
     list_name, master_name = _find(listing, keys[0]), _find(master, keys[1])
     if not (list_name and master_name):
@@ -56,7 +58,7 @@ def join_customer_list(
     master_columns = {c.upper() for c in master.columns}
     from_list = [
         c for c in listing.columns
-        if (c == list_name or c.upper() not in master_columns or c.upper() in wanted) and not c.endswith("_M")
+        if (list_wins or c == list_name or c.upper() not in master_columns or c.upper() in wanted) and not c.endswith("_M")
     ]
     taken = {c.upper() for c in from_list}
     from_master = [c for c in master.columns if c.upper() not in taken and not c.endswith("_M")]

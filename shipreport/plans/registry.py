@@ -18,11 +18,15 @@ from shipreport.operators import listjoin, lookups
 
 @dataclass
 class Context:
-    """What derivations need besides the rows: reference tables, the calendar and the report date."""
+    """What derivations need besides the rows: reference tables, the calendar and the report date.
+
+    ``full_status`` fills STATUS_POD by the full status rules instead of the short ones.
+    """
 
     as_of: date
     refs: dict[str, DataFrame] = field(default_factory=dict)
     calendar: WorkCalendar = field(default_factory=WorkCalendar)
+    full_status: bool = False
 
     def ref(self, name: str) -> DataFrame:
         if name not in self.refs:
@@ -80,6 +84,10 @@ def _client_status(df: DataFrame, ctx: Context) -> DataFrame:
     return lookups.client_status(status.resolve_full_status(df, ctx.as_of), ctx.ref("status_map"))
 
 
+def _status(df: DataFrame, ctx: Context) -> DataFrame:
+    return status.resolve_full_status(df, ctx.as_of) if ctx.full_status else status.short_status(df)
+
+
 _STATUS = ["CODING", "STATUS_POD", "STATUS_POD_UPDATE"]
 
 register("origin", ["ORIGIN_CITY", "ORIGIN_CITY_2", "3_LC_ORIGIN", "PROVINSI_ORIGIN", "REGION", "KODE_POS_ORI"],
@@ -92,7 +100,7 @@ register("received", ["DATE_RECEIVED", "TIME_RECEIVED"], ["TGL_RECEIVED"],
          _columns(lambda df, ctx: derive.received_columns(col("TGL_RECEIVED"))))
 register("client_status", ["AJ Car Status", "KETERANGAN AJ CAR", "Remark Return"],
          status.FULL_STATUS_INPUTS, _client_status, changes=["STATUS_POD", "DEST", "CODING"])
-register("short_status", ["STATUS_POD"], _STATUS, lambda df, ctx: status.short_status(df))
+register("short_status", ["STATUS_POD"], _STATUS, _status)
 register("aging", ["AGING_1ST", "CAREER_1ST", "AGING_POD", "CARRER_POD"],
          ["TGL_ENTRY", "1ST_ATTEMPT_DATE", "TGL_RECEIVED", "ETD", "STATUS_POD"],
          lambda df, ctx: derive.aging_flags(df, ctx.calendar))

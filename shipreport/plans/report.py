@@ -26,7 +26,7 @@ from shipreport.sources.shipments import select_shipments
 class ReportConfig:
     """A validated report config; field names are those of the config files."""
 
-    group_name: str | None = None
+    group_name: str | list[str] | None = None
     id_account: list[str] = field(default_factory=list)
     selected_cols: list[str] | None = None
     exclude_cols: list[str] = field(default_factory=list)
@@ -63,7 +63,7 @@ class ReportConfig:
 
     @property
     def name(self) -> str:
-        return self.save_as or self.group_name
+        return self.save_as or str(self.group_name)
 
 
 def expand_combined(criteria: list[dict]) -> list[dict]:

@@ -40,6 +40,11 @@ def by_month(name: str) -> Column:
     return month_label(col(name))
 
 
+def by_column(name: str) -> Column:
+    """Month of a date column (its name holds TGL or DATE), else the value itself."""
+    return by_month(name) if any(k in name.upper() for k in ("TGL", "DATE")) else by_value(name)
+
+
 def by_year(name: str) -> Column:
     return F.date_format(col(name), "yyyy")
 

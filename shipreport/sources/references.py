@@ -15,17 +15,31 @@ from shipreport.session import apply_settings
 from shipreport.sources.shipments import months_back
 
 
+def _csv(spark: SparkSession, path: str, sep: str, encoding: str) -> DataFrame:
+    table = spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False)
+    return table.select(*[clean(col(c)).alias(c.strip()) for c in table.columns])
+
+
 def read_table(
-    spark: SparkSession, path: str, required: list[str] = (), *, sep: str = ",", encoding: str = "UTF-8",
+    spark: SparkSession, path: str, required: list[str] = (), *, sep: str = ",", encoding: str | None = None,
     kind: str | None = None,
 ) -> DataFrame:
-    """A reference sheet as CSV or Parquet, every CSV cell a cleaned text."""
+    """A reference sheet as CSV or Parquet, every CSV cell a cleaned text.
+
+    Without a given encoding a CSV is read as UTF-8, and as Latin-1 where some
+    cell does not decode.
+    """
     apply_settings(spark)
     kind = kind or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if kind == "parquet":
         return require_columns(spark.read.parquet(path), list(required), path)
-    table = spark.read.csv(path, header=True, sep=sep, encoding=encoding, inferSchema=False)
-    table = table.select(*[clean(col(c)).alias(c.strip()) for c in table.columns])
+    table = _csv(spark, path, sep, encoding or "UTF-8")
+    if encoding is None:
+        broken = F.lit(any("\ufffd" in c for c in table.columns))
+        for c in table.columns:
+            broken = broken | F.coalesce(col(c).contains("\ufffd"), F.lit(False))
+        if not table.where(broken).isEmpty():
+            table = _csv(spark, path, sep, "ISO-8859-1")
     return require_columns(table, list(required), path)
 
 

@@ -222,3 +222,44 @@ def test_month_folder_layout(spark, tmp_path):
         spark.createDataFrame([(month,)], "m int").write.parquet(source.month_folder(str(tmp_path), 1998, month, "RETAIL"))
     got = source.scan_month_folders(spark, str(tmp_path), dt.date(1998, 6, 1), dt.date(1998, 8, 1), "RETAIL")
     assert [r.m for r in got.collect()] == [6]
+
+
+def test_table_encodings(spark, tmp_path):
+    from shipreport.sources.references import read_table
+
+    for name, encoding in (("utf", "utf-8"), ("latin", "latin-1")):
+        (tmp_path / f"{name}.csv").write_text("CUST_ID , NAMA\n1,café  \n2,\n", encoding=encoding)
+        rows = read_table(spark, str(tmp_path / f"{name}.csv"), ["CUST_ID", "NAMA"]).collect()
+        assert [tuple(r) for r in rows] == [("1", "café"), ("2", None)]
+    with pytest.raises(ValueError):
+        read_table(spark, str(tmp_path / "utf.csv"), ["CATEGORY"])
+
+
+def test_aging_uses_the_spelling_the_table_has(spark):
+    from shipreport.functions.derive import aging_flags
+    from shipreport.functions.workdays import WorkCalendar
+
+    at = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [("success", at, at + dt.timedelta(days=2), at + dt.timedelta(days=9), 3, None), ("Undel", at, at, at, 3, "kept?")],
+        "STATUS_POD string, TGL_ENTRY timestamp, `1ST ATTEMPT` timestamp, TGL_RECEIVED timestamp, ETD long, `CARRER POD` string")
+    good, other = aging_flags(df, WorkCalendar()).collect()
+    assert (good["AGING_1ST"], good["CAREER_1ST"], good["AGING_POD"], good["CARRER POD"]) == (3, "Ontime SLA", 8, "Over SLA")
+    assert (other["1ST ATTEMPT"], other["AGING_POD"], other["CARRER POD"]) == (None, None, None)
+
+
+def test_list_columns_win_when_asked(spark):
+    listing = spark.createDataFrame([("1", "list")], "AWB string, v string")
+    master = spark.createDataFrame([("1", "master", 2)], "AWB string, v string, n long")
+    for wins, want in ((False, "master"), (True, "list")):
+        row = listjoin.join_customer_list(listing, master, ("AWB", "AWB"), list_wins=wins).first()
+        assert (row.AWB, row.v, row.n) == ("'1", want, 2)
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from shipreport.session import fresh_path
+
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = fresh_path(spark, "x")
+    assert folder is None or path.startswith(folder.rstrip("/"))
+    assert path != fresh_path(spark, "x")
