@@ -161,14 +161,14 @@ def split_by_values(spark, sf):
     return outputs.tag_listed_values(df, " coding", {"D01": "Terkirim", None: "Kosong", "U12": "Masalah", " U12 ": "Lagi"})
 
 
-@query("clean_output", """SELECT vec_id, array_to_string(list_transform(embedding[1:3], lambda x: CAST(CAST(round(x * 100) AS BIGINT) AS STRING)), ', ')
+@query("clean_output", """SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 100) AS BIGINT) AS STRING)), ', ')
     AS "LIST", CAST(NULL AS STRING) AS "BLANK", regexp_replace(url, '^https?://', '') AS "URL_FOTO", CAST(label AS DOUBLE) AS "QTY"
 FROM embeddings LEFT JOIN pages ON vec_id = page_id""".replace("CAST(NULL AS STRING) AS \"BLANK\"", "CASE WHEN label % 2 = 0 THEN CAST(label AS STRING) END AS \"BLANK\"").replace("regexp_replace(url", "regexp_replace(coalesce(url, '')"))
 def clean_output(spark, sf):
     pages = table(spark, sf, "pages").select(F.col("page_id").alias("vec_id"), F.col("url").alias("URL_FOTO"))
     df = table(spark, sf, "embeddings").join(pages, "vec_id", "left").select(
         "vec_id",
-        F.transform(F.slice("embedding", 1, 3), lambda x: F.round(x.cast("double") * 100).cast("bigint")).alias("LIST"),
+        F.transform("embedding", lambda x: F.round(x.cast("double") * 100).cast("bigint")).alias("LIST"),
         F.when(F.col("label") % 2 == 0, F.col("label").cast("string")).otherwise(" NaN ").alias("BLANK"),
         "URL_FOTO", F.col("label").cast("string").alias("QTY"))
     return outputs.clean_output(df)
@@ -204,7 +204,7 @@ _EVENT_STATUS = ("CASE WHEN user_id % 5 = 4 THEN 'Success' WHEN event_type = 'er
 
 
 def _snapshot(spark, sf, day: int):
-    """Status counts per report; on the second day the rows of some reports have grown."""
+    """Status counts per report on two days: some reports have grown by the second, some are new, some are gone."""
     events = table(spark, sf, "events").select(
         F.expr(_report_name("user_id")).alias("report"), F.expr(_EVENT_STATUS).alias("STATUS_POD"), "user_id", "ts")
     if day == 1:

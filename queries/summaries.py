@@ -11,6 +11,7 @@ from shipreport.operators import lookups
 from shipreport.operators.pivots import Measure, Pivot, pivot_long, pivot_totals, pivot_wide
 from shipreport.operators.profile import column_rules, normalise_dates, parse_report, profile_dates
 from shipreport.plans.presets import PRESETS
+from shipreport.session import stored
 
 _COUNT = Measure("AWB", "count", "JUMLAH")
 _MEMBERS = ["Success", "Undel", "On Process", "Return Shipper", "Un Receiving", "RU Shipper/Origin", "(blank)"]
@@ -168,7 +169,8 @@ def _preset_sql() -> str:
 
 @query("pivot_presets", _preset_sql())
 def pivot_presets(spark, sf):
-    df = shipments(spark, sf, *_PRESET_COLUMNS)
+    # As in a report run, the pivots read the stored report, each its own columns.
+    df = stored(shipments(spark, sf, *_PRESET_COLUMNS), "presets")
     whole = None
     for name, p in _PRESETS_HERE:
         long = pivot_long(df, p)

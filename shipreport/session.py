@@ -69,3 +69,13 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back as a table.
+
+    For rows several column-pruned scans will read, such as the pivots of a report.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
