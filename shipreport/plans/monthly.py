@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shipreport.functions.predicates import all_of, group_in, status_in
+from shipreport.functions.predicates import all_of, date_window, group_in, status_in
 from shipreport.functions.text import col
 from shipreport.operators.dedup import latest_per_key
 from shipreport.operators.listjoin import join_customer_list
@@ -45,8 +45,7 @@ def build_monthly_report(
     if config.selected_statuses:
         df = df.where(status_in(col("STATUS_POD"), config.selected_statuses, cased=True))
     if config.jumlah_bulan:
-        start, end = month_table_window(config.jumlah_bulan, now)
-        df = df.where((col("TGL_ENTRY") >= F.lit(start)) & (col("TGL_ENTRY") < F.lit(end)))
+        df = df.where(date_window(df, "TGL_ENTRY", *month_table_window(config.jumlah_bulan, now)))
     if config.clean_receiver:
         df = clean_receivers(df, list(receiver_words))
     selected = list(config.selected_cols or [])
