@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +17,7 @@ from shipreport.session import apply_settings, fresh_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+PACKAGE = Path(__file__).resolve().parents[1]
 #: White space of the word contracts: space and the code points 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text one numpy step works on; a single longer text is a step of its own.
@@ -35,6 +39,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once a session, however the driver came to import it."""
+    context = spark.sparkContext
+    if not getattr(context, "_shipreport_sent", False):
+        folder = Path(tempfile.mkdtemp(prefix="shipreport-code-"))
+        with zipfile.ZipFile(folder / "shipreport_code.zip", "w") as archive:
+            for file in sorted(PACKAGE.rglob("*.py")):
+                archive.write(file, file.relative_to(PACKAGE.parent))
+        context.addPyFile(str(folder / "shipreport_code.zip"))
+        context._shipreport_sent = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import Hasher, documents, query, steps
+from .common import Hasher, documents, query, ship_code, steps
 
 MARK = "▁"
 #: Chunks whose pieces one worker keeps; a full cache starts anew.
@@ -239,6 +239,7 @@ def encode(docs: DataFrame, blob: bytes, id_col: str = "doc_id", text_col: str =
     rows and ids come out once a row, an empty table gives no rows; other columns are not read.
     A text is handled whole; memory is bounded by the longest one.
     """
+    ship_code(docs.sparkSession)
     schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("ids", ArrayType(IntegerType())),
                          StructField("starts", ArrayType(LongType())), StructField("ends", ArrayType(LongType())), StructField("decoded", StringType())])
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from .common import STEP_BYTES, Hasher, documents, query
+from .common import STEP_BYTES, Hasher, documents, query, ship_code
 
 #: Counts of merged pre-tokens one worker keeps; a full cache starts anew.
 CACHE = 1_000_000
@@ -164,6 +164,7 @@ def count_tokens(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
     ids come out once a row, an empty table gives no rows; other columns are not read.
     A text is counted whole, in one task; memory is bounded by the longest text.
     """
+    ship_code(docs.sparkSession)
     schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("n_bytes", LongType()),
                          StructField("n_tokens", LongType()), StructField("over_limit", BooleanType())])
 
