@@ -123,7 +123,7 @@ class Hasher:
     def windows(self, width: int) -> np.ndarray:
         """The hash of every range of `width` bytes, by its start."""
         n = len(self.sums) - width
-        return mix((self.sums[width:] - self.sums[:n]) * self.down[:n] + np.uint64(width) * _MIX2) if n > 0 else np.zeros(0, np.uint64)
+        return mix((self.sums[width:] - self.sums[:n]) * self.down[:n] + np.array([width], np.uint64) * _MIX2) if n > 0 else np.zeros(0, np.uint64)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
