@@ -154,10 +154,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, starts, row of each word) of all words of a run of rows; A-Z lower-cased on request."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, row of each word) of all words of a run of rows; A-Z lower-cased on request.
+
+    gaps: by byte value, what parts words.
+    """
     gap = np.ones(len(data) + 1, bool)
-    gap[:-1] = _SPACE[data]
+    gap[:-1] = gaps[data]
     first = ~gap[:-1]
     first[1:] &= gap[:-2]
     last = ~gap[:-1] & gap[1:]

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
@@ -253,7 +253,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """(d, t, id, n_shingles, component_id) of every row; component_id is the smallest id joined with it.
+    """(d, t, id, n_shingles, component_id, group) of every row; component_id is the smallest id joined with it.
+
+    group names the component, also where it has no id; it is null for a row without a set.
 
     Words split at ASCII white space, A-Z count as a-z; a set holds the distinct runs of `width`
     words, or the whole sequence of fewer. Rows link at 100 * intersection >= percent * union.
@@ -273,11 +275,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(rows, nodes, groups, width, percent))
     named = nodes.select("name", "node", "first").join(roots, "node", "left").select("name", "first", F.coalesce("root", "node").alias("root"))
     best = named.groupBy("root").agg(F.min("first").alias("component"))
-    labels = named.join(best, "root").select("name", "component")
+    labels = named.join(best, "root").select("name", "root", "component")
     out = signed.select("d", "t", "n_shingles", "name").join(labels, "name", "left")
     row_id = F.when(F.col("d") != least, F.col("d")).cast(docs.schema[id_col].dataType)
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.when(F.col("d") != least, F.col("d")))
-    return out.select("d", "t", row_id.alias("id"), "n_shingles", component.alias("component_id"))
+    return out.select("d", "t", row_id.alias("id"), "n_shingles", component.alias("component_id"), F.col("root").alias("group"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs with one row for each group of near duplicates, the one with the least id (null last).
+
+    Rows without a set all stay. Columns of any name stay as they are.
+    """
+    least = F.lit(-(2**63))
+    found = near_duplicates(docs, id_col, text_col, **how)
+    order = F.struct((F.col("d") == least).alias("null_id"), "d", "t")
+    single = found.where("group is not null").groupBy("group").agg(F.min(order).alias("x")).select("x.d", "x.t", F.lit(True).alias("_single"))
+    keys = single.unionByName(found.where("group is null").select("d", "t", F.lit(False).alias("_single")).distinct()).withColumnsRenamed({"d": "_d", "t": "_t"})
+    rows = keyed(docs.select(id_col, text_col, F.struct("*").alias("_row")), id_col, text_col, "_row").select(F.col("d").alias("_d"), F.col("t").alias("_t"), "_row")
+    kept = rows.join(keys, ["_d", "_t"]).withColumn("_n", F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_d")))
+    return kept.where("_n = 1 or not _single").select("_row.*")
 
 
 @query("op6_near_dedup")

@@ -176,6 +176,17 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return back.select("d", "t", row_id.alias("id"), "source", "size", "source_size", "target", "copies")
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows of docs as often as the mix takes them; columns of any name stay as they are."""
+    taken = mix_sources(docs, id_col, text_col, source_col, **how).groupBy("d", "t").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0").withColumnsRenamed({"d": "_d", "t": "_t"})
+    rows = keyed(docs.select(id_col, text_col, F.struct("*").alias("_row")), id_col, text_col, "_row").select(F.col("d").alias("_d"), F.col("t").alias("_t"), "_row")
+    # rows that agree in id and text share their copies, the first ones take one more
+    place = F.row_number().over(Window.partitionBy("_d", "_t").orderBy("_d"))
+    copies = F.expr("_copies div _rows") + (F.col("_n") <= F.col("_copies") % F.col("_rows")).cast("long")
+    shared = rows.join(taken, ["_d", "_t"]).withColumn("_n", place).withColumn("_copies", copies).where("_copies > 0")
+    return shared.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")
+
+
 @query("op7_source_mixing")
 def op7(spark, sf_dir):
     mixed = mix_sources(documents(spark, sf_dir))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import STEP_BYTES, Hasher, documents, keyed, mix, query, ship_code, stored, text_buffer
 
@@ -187,7 +187,7 @@ def contexts(joined: DataFrame, span: int, many: bool) -> DataFrame:
             yield batch_of(out, CONTEXT)
 
     wanted = F.exists("list", lambda x: (x["kind"] != 1) & (x["many"] == many))
-    return joined.where(wanted).select("d", "t", "text", "list").mapInArrow(run, CONTEXT)
+    return joined.where(wanted).select("d", "t", "text", "list", "more").mapInArrow(run, CONTEXT)
 
 
 KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "string": pa.string()}
@@ -258,27 +258,29 @@ def compared_apart(rows: DataFrame, span: int) -> DataFrame:
     return starts.where("kind = 0").join(twice, ["anchor", "name"]).select("d", "t", "first", F.col("first").alias("final"))
 
 
-RESULT = "d long, t long, n_bytes long, n_removed long, n_spans long, kept binary"
-
-
 def cut_texts(joined: DataFrame, span: int, keep_text: bool) -> DataFrame:
     """What is left of every text without the bytes of its repeated starts, as text or as a SHA-256."""
+    schema = StructType([joined.schema["more"], StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, ends = text_buffer(batch.column(2))
-            seg_at, seg = flat(batch.column(3))
-            run_at, runs = flat(batch.column(4))
-            out, size = [], 0
+            data, ends = text_buffer(batch.column(0))
+            seg_at, seg = flat(batch.column(1))
+            run_at, runs = flat(batch.column(2))
+            out, size, done = [], 0, 0
+
+            def result(end: int) -> pa.RecordBatch:
+                made = batch_of(out, "n_bytes long, n_removed long, n_spans long, kept binary")
+                return pa.RecordBatch.from_arrays([batch.column(4).slice(done, end - done), *made.columns], names=schema.names)
+
             for row in range(batch.num_rows):
                 text = data[ends[row] : ends[row + 1]]
                 n = len(text)
                 a, b = seg_at[row], seg_at[row + 1]
-                whole = seg["kind"][a:b] == 1
-                whole &= seg["s"][a:b] <= n - span
+                whole = (seg["kind"][a:b] == 1) & (seg["s"][a:b] <= n - span)
                 first = np.concatenate([seg["s"][a:b][whole], runs["first"][run_at[row] : run_at[row + 1]]]).astype(np.int64)
                 final = np.concatenate([np.minimum(seg["e"][a:b][whole], n - span), runs["final"][run_at[row] : run_at[row + 1]]]).astype(np.int64)
-                if batch.column(5)[row].as_py() and n >= span:
+                if batch.column(3)[row].as_py() and n >= span:
                     first, final = np.array([0]), np.array([n - span])
                 kept, removed, spans = text.tobytes(), 0, 0
                 if len(first):
@@ -288,18 +290,18 @@ def cut_texts(joined: DataFrame, span: int, keep_text: bool) -> DataFrame:
                     gone = np.cumsum(depth[:-1]) > 0
                     kept, removed, spans = text[~gone].tobytes(), int(gone.sum()), len(runs_of(gone))
                 kept = kept if keep_text else hashlib.sha256(kept).hexdigest().encode()
-                out.append((batch.column(0)[row].as_py(), batch.column(1)[row].as_py(), n, removed, spans, kept))
+                out.append((n, removed, spans, kept))
                 size += len(kept)
                 if size > 4 * STEP_BYTES:
-                    yield batch_of(out, RESULT)
-                    out, size = [], 0
-            yield batch_of(out, RESULT)
+                    yield result(row + 1)
+                    out, size, done = [], 0, row + 1
+            yield result(batch.num_rows)
 
-    return joined.mapInArrow(run, RESULT)
+    return joined.select("text", "list", "runs", "twice", "more").mapInArrow(run, schema)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, keep_text: bool = True) -> DataFrame:
-    """(d, t, id, n_bytes, n_removed, n_spans, kept) of every row.
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, keep_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carry.., n_bytes, n_removed, n_spans, kept) of every row.
 
     A byte goes if a string of `span` bytes that covers it starts anywhere else too, in any row,
     its own included; all strings are judged on the texts as given. kept holds the bytes left
@@ -311,7 +313,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if span < WINDOW + GRAM - 1:
         raise ValueError(f"span must be at least {WINDOW + GRAM - 1}")
     ship_code(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col).select("d", "t", "text")
+    more = F.struct(*[docs[c] for c in dict.fromkeys((id_col, *carry))])
+    rows = keyed(docs.select(id_col, text_col, more.alias("more")), id_col, text_col, "more").select("d", "t", "text", "more")
     lists = stored(segment_lists(rows, span), "segment_lists")
     joined = rows.join(lists, ["d", "t"])
     found = compared_together(contexts(joined, span, False), span)
@@ -320,13 +323,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs = found.groupBy("d", "t").agg(F.collect_list(F.struct("first", "final")).alias("runs"))
     copies = rows.groupBy("d", "t").agg((F.count("*") > 1).alias("twice")).where("twice")
     marks = lists.select("d", "t", F.filter("list", lambda x: x["kind"] == 1).alias("list")).join(runs, ["d", "t"], "left").join(copies, ["d", "t"], "left")
-    whole = rows.join(marks, ["d", "t"], "left").select("d", "t", "text", "list", "runs", F.coalesce("twice", F.lit(False)).alias("twice"))
-    done = cut_texts(whole, span, keep_text)
-    row_id = F.when(F.col("d") != F.lit(-(2**63)), F.col("d")).cast(docs.schema[id_col].dataType if isinstance(docs.schema[id_col].dataType, LongType) else "long")
-    return done.select("d", "t", row_id.alias("id"), "n_bytes", "n_removed", "n_spans", "kept")
+    whole = rows.join(marks, ["d", "t"], "left").select("text", "list", "runs", F.coalesce("twice", F.lit(False)).alias("twice"), "more")
+    return cut_texts(whole, span, keep_text).select("more.*", "n_bytes", "n_removed", "n_spans", "kept")
 
 
 @query("op10_repeated_passages")
 def op10(spark, sf_dir):
     found = repeated_passages(documents(spark, sf_dir), keep_text=False)
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
