@@ -38,13 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 400 bytes that occur twice; those left without a word go."""
     apply_settings(spark)
-    others = tuple(c for c in docs.columns if c != "text")
-    cut = suffix_dedup.repeated_passages(docs, carry=others)
-    left = F.when(F.col("n_removed") > 0, F.make_valid_utf8(F.col("kept").cast("string"))).otherwise(F.col("kept").cast("string"))
-    texts = cut.withColumn("text", left).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in others:
-        texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return texts.select(*docs.columns)
+    found = suffix_dedup.repeated_passages(docs, carry=tuple(c for c in docs.columns if c != "text"))
+    left = F.col("kept").cast("string")
+    made = found.select("row", "n_removed", F.when(F.col("n_removed") > 0, F.make_valid_utf8(left)).otherwise(left).alias("left"))
+    made = made.where((F.col("n_removed") == 0) | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
+    return made.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
 
 from .common import documents, query, ship_code, steps, words
 
@@ -250,13 +250,14 @@ SCORES = ("text_score", "page_score", "score")
 def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...], text_col: str = "text", lang_col: str = "lang", source_col: str = "source", at_least: float = 0.4, only_kept: bool = False) -> DataFrame:
     """(columns.., text_score, page_score, score, kept) of every row, or only the columns of the rows kept.
 
-    Scores are chances of being good. Null texts count as empty, null languages and sources as a
+    Where a column has such a name already, the new one starts with quality_. Scores are chances of being good. Null texts count as empty, null languages and sources as a
     name of their own; every row gets a score, ids aren't read. Repeated rows score alike; an
     empty table gives no rows. One pass, no shuffle. A model fitted without two kinds of labels
     gives every row the share of good ones (1 without labels).
     """
     ship_code(docs.sparkSession)
-    schema = StructType([docs.schema[c] for c in columns] + ([] if only_kept else [StructField(f"{s}", DoubleType()) for s in SCORES] + [StructField("kept", IntegerType())]))
+    own = [] if only_kept else [StructField(c if c not in columns else f"quality_{c}", BooleanType() if c == "kept" else DoubleType()) for c in (*SCORES, "kept")]
+    schema = StructType([docs.schema[c] for c in columns] + own)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,10 +270,9 @@ def score_quality(docs: DataFrame, model: Model, columns: tuple[str, ...], text_
                 if only_kept:
                     yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in part], names=list(columns))
                 else:
-                    yield pa.RecordBatch.from_arrays([*part, *map(pa.array, scores), pa.array(kept.astype(np.int32))], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([*part, *map(pa.array, scores), pa.array(kept)], names=schema.names)
 
-    done = text_view(docs, text_col, lang_col, source_col, *[docs[c] for c in columns]).mapInArrow(run, schema)
-    return done if only_kept else done.withColumn("kept", F.col("kept") == 1)
+    return text_view(docs, text_col, lang_col, source_col, *[docs[c] for c in columns]).mapInArrow(run, schema)
 
 
 @query("op3_quality_classifier")

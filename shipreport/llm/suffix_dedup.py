@@ -301,7 +301,7 @@ def cut_texts(joined: DataFrame, span: int, keep_text: bool) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, keep_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, carry.., n_bytes, n_removed, n_spans, kept) of every row.
+    """(id, n_bytes, n_removed, n_spans, kept) of every row; with carry, row (a struct of id and carry) for id.
 
     A byte goes if a string of `span` bytes that covers it starts anywhere else too, in any row,
     its own included; all strings are judged on the texts as given. kept holds the bytes left
@@ -324,7 +324,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     copies = rows.groupBy("d", "t").agg((F.count("*") > 1).alias("twice")).where("twice")
     marks = lists.select("d", "t", F.filter("list", lambda x: x["kind"] == 1).alias("list")).join(runs, ["d", "t"], "left").join(copies, ["d", "t"], "left")
     whole = rows.join(marks, ["d", "t"], "left").select("text", "list", "runs", F.coalesce("twice", F.lit(False)).alias("twice"), "more")
-    return cut_texts(whole, span, keep_text).select("more.*", "n_bytes", "n_removed", "n_spans", "kept")
+    return cut_texts(whole, span, keep_text).select(F.col("more").alias("row") if carry else F.col("more")[id_col].alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 @query("op10_repeated_passages")
