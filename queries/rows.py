@@ -158,16 +158,24 @@ def date_window(spark, sf):
     return df.where(predicates.date_window(df, "o_orderdate", *period_window("last_n_months", 3, AS_OF)))
 
 
-@query("scan_filtered", """SELECT o_orderkey AS AWB, concat(chr(39), CAST(o_custkey AS STRING)) AS ID_ACCOUNT,
-  o_orderdate AS TGL_ENTRY, o_orderstatus AS STATUS_POD FROM orders
-WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' AND o_orderstatus IN ('F', 'P')""")
+@query("scan_filtered", """SELECT o_orderkey AS AWB, stored AS ID_ACCOUNT, o_orderdate AS TGL_ENTRY, o_orderstatus AS STATUS_POD, given
+FROM (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN chr(39) || o_custkey WHEN 1 THEN ' ' || chr(39) || o_custkey || ' '
+    WHEN 2 THEN o_custkey || '  ' ELSE o_custkey || '.0' END AS stored FROM orders), (VALUES ('list'), ('table')) t(given)
+WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' AND o_orderstatus IN ('F', 'P', 'O')
+  AND o_custkey BETWEEN 1 AND 60 AND o_orderkey % 4 < 3""")
 def scan_filtered(spark, sf):
+    key, quote = F.col("o_custkey").cast("string"), F.lit("'")
+    spelled = F.when(F.col("o_orderkey") % 4 == 0, F.concat(quote, key)).when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit(" '"), key, F.lit(" "))).when(
+        F.col("o_orderkey") % 4 == 2, F.concat(key, F.lit("  "))).otherwise(F.concat(key, F.lit(".0")))
     df = table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("AWB"), F.concat(F.lit("'"), F.col("o_custkey").cast("string")).alias("ID_ACCOUNT"),
+        F.col("o_orderkey").alias("AWB"), spelled.alias("ID_ACCOUNT"),
         F.col("o_orderdate").alias("TGL_ENTRY"), F.col("o_orderstatus").alias("STATUS_POD"), "o_orderpriority")
-    return source.select_shipments(
-        df, columns=["awb", "id_account", "tgl_entry", "status_pod"],
-        window=("TGL_ENTRY", *period_window("year", None, AS_OF)), statuses=["f", "p"])
+    wanted = [f"' {n} " if n % 2 else str(n) for n in range(1, 61)]
+    forms = {"list": wanted, "table": spark.createDataFrame([(w,) for w in wanted], "account_id string")}
+    found = [source.select_shipments(
+        df, columns=["awb", "id_account", "tgl_entry", "status_pod"], window=("TGL_ENTRY", *period_window("year", None, AS_OF)),
+        accounts=accounts, statuses=["f", "p", "o"]).withColumn("given", F.lit(name)) for name, accounts in forms.items()]
+    return found[0].unionAll(found[1])
 
 
 # ---- sources ---------------------------------------------------------------
@@ -210,16 +218,13 @@ SELECT CAST(o_orderkey AS STRING) AS AWB, o_orderstatus AS STATUS_POD, CAST(NULL
   WHERE month(o_orderdate) <= 6
 UNION ALL SELECT CAST(o_orderkey AS STRING), o_orderstatus, o_orderpriority FROM orders WHERE month(o_orderdate) > 6""")
 def union_by_name(spark, sf):
-    orders = table(spark, sf, "orders")
-    paths = []
-    first_half = F.month("o_orderdate") <= 6
-    for part, extra in ((first_half, []), (~first_half, [F.col("o_orderpriority").alias("service"), F.lit("x").alias("unknown")])):
-        path = fresh_path(spark, "month")
-        orders.where(part).select(
-            F.col("o_orderkey").alias(" awb "), F.col("o_orderstatus").alias("Status_Pod"), *extra,
-        ).write.csv(path, header=True)
-        paths.append(path)
-    return source.read_month_csv(spark, paths, keep=["AWB", "STATUS_POD", "SERVICE"])
+    orders, path = table(spark, sf, "orders"), fresh_path(spark, "month")
+    first_half, awb, status = F.month("o_orderdate") <= 6, F.col("o_orderkey").alias(" awb "), F.col("o_orderstatus").alias("Status_Pod")
+    service, unknown = F.col("o_orderpriority").alias("service"), F.lit("x").alias("unknown")
+    # two headers in one folder, the columns in another order
+    orders.where(first_half).select(awb, status).write.csv(path, header=True)
+    orders.where(~first_half).select(service, status, unknown, awb).write.mode("append").csv(path, header=True)
+    return source.read_month_csv(spark, [path], keep=["AWB", "STATUS_POD", "SERVICE"])
 
 
 # ---- projection and order --------------------------------------------------

@@ -12,7 +12,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shipreport.functions.text import account_key, col
+from shipreport.functions.text import account_id, col
 
 
 def _text(c: Column) -> Column:
@@ -121,7 +121,7 @@ def date_window(df: DataFrame, name: str, start, end) -> Column:
 def account_in(c: Column, accounts) -> Column:
     """Membership that ignores padding and the apostrophe on either side."""
     wanted = sorted({str(a).strip().lstrip("'").strip() for a in accounts} - {""})
-    return _or(account_key(c).isin(wanted), False)
+    return _or(account_id(c).isin(wanted), False)
 
 
 def stored_account_in(c: Column, accounts) -> Column:

@@ -36,6 +36,11 @@ def account_key(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(text, "^'+", "")), F.lit(""))
 
 
+def account_id(c: Column) -> Column:
+    """Account id without padding and leading apostrophes, the one spelling filters compare; blank is null."""
+    return F.nullif(F.trim(F.regexp_replace(F.trim(c.cast("string")), "^'+", "")), F.lit(""))
+
+
 def account_text(c: Column) -> Column:
     """Account id as stored in configs: one leading apostrophe."""
     text = clean(c)

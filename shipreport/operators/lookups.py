@@ -26,8 +26,11 @@ def require_columns(table: DataFrame, names: list[str], what: str) -> DataFrame:
 
 
 def one_row_per_key(table: DataFrame, key: Column, take: dict[str, str], order: list[str] | None) -> DataFrame:
-    """Key plus the wanted columns, first row per key; null keys never match and go."""
-    order = order or sorted(set(take.values()))
+    """Key plus the wanted columns, first row per key; null keys never match and go.
+
+    The first row is the first in ``order``, by default in the table's row order (row_idx) where it has one.
+    """
+    order = order or (["row_idx"] if "row_idx" in table.columns else sorted(set(take.values())))
     rows = table.select(key.alias("_k"), *[col(s).alias(n) for n, s in take.items()],
                         *[col(o).alias(f"_o{i}") for i, o in enumerate(order)]).where("_k is not null")
     marks = [f"_o{i}" for i in range(len(order))]

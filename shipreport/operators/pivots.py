@@ -7,8 +7,9 @@ Shares and totals are computed from those parts, never from the facts again.
 from __future__ import annotations
 
 from dataclasses import dataclass, field as _field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shipreport.functions.text import col
 
@@ -180,23 +181,33 @@ def pivot_long(df: DataFrame, pivot: Pivot) -> DataFrame:
     return out
 
 
-def pivot_members(long: DataFrame, columns: list[str], limit: int) -> list[str]:
-    """The distinct column labels, read to the driver only up to the limit."""
-    found = long.select(_label(columns).alias("m")).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
+def member_table(long: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns.., _member): each member's label; members that give one text are told apart by a number."""
+    members = long.select(*map(col, columns)).distinct().withColumn("_text", _label(columns))
+    same = Window.partitionBy("_text").orderBy(*[col(c).asc_nulls_first() for c in columns])
+    number = F.row_number().over(same)
+    label = F.when(number == 1, F.col("_text")).otherwise(F.concat("_text", F.lit(" ("), number.cast("string"), F.lit(")")))
+    return members.withColumn("_member", label).drop("_text")
+
+
+def pivot_members(long: DataFrame, columns: list[str], limit: int | None = None) -> list[str]:
+    """The distinct column labels, one for each column of the wide table; with a limit, an error beyond it."""
+    found = member_table(long, columns).select("_member")
+    found = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(found) > limit:
         raise ValueError(f"more than {limit} members across the columns; use the long form")
-    return sorted(r.m for r in found)
+    return sorted(r[0] for r in found)
 
 
 def _label(columns: list[str]) -> Column:
     return F.concat_ws(" | ", *[F.coalesce(col(c).cast("string"), F.lit(BLANK)) for c in columns])
 
 
-def pivot_wide(df: DataFrame, pivot: Pivot, members: list[str] | None = None, limit: int = 1000) -> DataFrame:
+def pivot_wide(df: DataFrame, pivot: Pivot, members: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """The same table with column members side by side.
 
-    Widening works on the aggregated rows. Tables with more members than the
-    limit stay whole in the long form.
+    Widening works on the aggregated rows. A caller may set a limit to the
+    number of members; the long form needs none.
     """
     long = pivot_long(df, pivot)
     rows = [c for c in pivot.rows if c in df.columns]
@@ -205,7 +216,9 @@ def pivot_wide(df: DataFrame, pivot: Pivot, members: list[str] | None = None, li
         return long
     labels = [c for c in long.columns if c not in rows + columns]
     members = members if members is not None else pivot_members(long, columns, limit)
-    named = long.select(*map(col, rows), _label(columns).alias("_member"), *map(col, labels))
+    names = member_table(long, columns).withColumnsRenamed({c: f"_m{i}" for i, c in enumerate(columns)})
+    same = [col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(columns)]
+    named = long.join(names, reduce(lambda a, b: a & b, same)).select(*map(col, rows), "_member", *map(col, labels))
     return named.groupBy(*map(col, rows)).pivot("_member", members).agg(
         *[F.first(col(m), ignorenulls=True).alias(m) for m in labels])
 

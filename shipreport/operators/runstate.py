@@ -69,6 +69,12 @@ def not_yet_processed(work: DataFrame, ledger: DataFrame, as_of: date) -> DataFr
     return work.join(done, "key", "left_anti")
 
 
+def marked_processed(ledger: DataFrame, keys: DataFrame, as_of: date) -> DataFrame:
+    """The ledger with the keys dated today; a key keeps one row, however often it is marked."""
+    today = keys.select("key").distinct().withColumn("processed", F.lit(as_of.isoformat()))
+    return ledger.select("key", "processed").join(today, "key", "left_anti").unionByName(today)
+
+
 def retained(ledger: DataFrame, as_of: date, days: int = 14) -> DataFrame:
     """Ledger rows with a readable date of the last days."""
     readable = col("processed").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")

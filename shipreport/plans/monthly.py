@@ -12,19 +12,27 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shipreport.functions.derive import fix_regional_spelling
 from shipreport.functions.predicates import all_of, date_window, group_in, status_in
 from shipreport.functions.text import col
 from shipreport.operators.dedup import latest_per_key
 from shipreport.operators.listjoin import join_customer_list
+from shipreport.operators.profile import normalise_dates
 from shipreport.operators.projection import select_report, unique_names, with_insurance_id
 from shipreport.operators.receivers import clean_receivers
 from shipreport.plans.periods import month_table_window
 from shipreport.plans.registry import Context, derive_columns
 from shipreport.plans.report import ReportConfig
+from shipreport.schema import TIMESTAMPS
 
 
 def newest_rows(extract: DataFrame, tie_break: list[Column] | None = None) -> DataFrame:
-    """The shared base of all reports of one extract: one row per waybill."""
+    """The shared base of all reports of one extract: one row per waybill.
+
+    Dates that come as text are read first, or the newest row would be the last in
+    the alphabet; regional names get one spelling.
+    """
+    extract = fix_regional_spelling(normalise_dates(extract, [c for c in TIMESTAMPS if c in extract.columns]))
     version = "TGL_TARIK_REPORT" if "TGL_TARIK_REPORT" in extract.columns else "TGL_ENTRY"
     return latest_per_key(extract, "AWB", version, tie_break=tie_break)
 

@@ -31,18 +31,21 @@ class Context:
     def ref(self, name: str) -> DataFrame:
         if name not in self.refs:
             raise ValueError(f"reference table not given: {name}")
-        return self.refs[name]
+        table = self.refs[name]
+        # "first row wins" follows the file: a table that brings no row order gets the order it is read in
+        return table if "row_idx" in table.columns else table.withColumn("row_idx", F.monotonically_increasing_id())
 
 
 @dataclass(frozen=True)
 class Derivation:
-    """``outputs`` are the columns that call for it; ``changes`` are columns it also rewrites."""
+    """``outputs`` call for it, ``changes`` are columns it also rewrites, ``optional`` ones it reads where there are any."""
 
     name: str
     outputs: tuple[str, ...]
     inputs: tuple[str, ...]
     run: Callable[[DataFrame, Context], DataFrame]
     changes: tuple[str, ...] = ()
+    optional: tuple[str, ...] = ()
 
     @property
     def written(self) -> set[str]:
@@ -54,10 +57,10 @@ REGISTRY: dict[str, Derivation] = {}
 
 def register(
     name: str, outputs: list[str], inputs: list[str], run: Callable[[DataFrame, Context], DataFrame],
-    changes: list[str] = (),
+    changes: list[str] = (), optional: list[str] = (),
 ) -> None:
     """Add a derivation; applications may add their own."""
-    REGISTRY[name] = Derivation(name, tuple(outputs), tuple(inputs), run, tuple(changes))
+    REGISTRY[name] = Derivation(name, tuple(outputs), tuple(inputs), run, tuple(changes), tuple(optional))
 
 
 def _columns(make: Callable[[DataFrame, Context], dict]) -> Callable[[DataFrame, Context], DataFrame]:
@@ -88,7 +91,9 @@ def _status(df: DataFrame, ctx: Context) -> DataFrame:
     return status.resolve_full_status(df, ctx.as_of) if ctx.full_status else status.short_status(df)
 
 
-_STATUS = ["CODING", "STATUS_POD", "STATUS_POD_UPDATE"]
+# Columns of the short status.
+_STATUS = ["STATUS_POD"]
+_STATUS_OPTIONAL = ["CODING", "STATUS_POD_UPDATE", *status.FULL_STATUS_INPUTS, *status.FULL_STATUS_OPTIONAL]
 
 register("origin", ["ORIGIN_CITY", "ORIGIN_CITY_2", "3_LC_ORIGIN", "PROVINSI_ORIGIN", "REGION", "KODE_POS_ORI"],
          ["ORIGIN"], lambda df, ctx: lookups.origin_lookup(df, ctx.ref("zone")))
@@ -99,11 +104,11 @@ register("period", ["DAY", "PERIODE", "WEEK", "WEEK_OF_YEAR", "TIME_ENTRY"], ["T
 register("received", ["DATE_RECEIVED", "TIME_RECEIVED"], ["TGL_RECEIVED"],
          _columns(lambda df, ctx: derive.received_columns(col("TGL_RECEIVED"))))
 register("client_status", ["AJ Car Status", "KETERANGAN AJ CAR", "Remark Return"],
-         status.FULL_STATUS_INPUTS, _client_status, changes=["STATUS_POD", "DEST", "CODING"])
-register("short_status", ["STATUS_POD"], _STATUS, _status)
+         status.FULL_STATUS_INPUTS, _client_status, changes=["STATUS_POD", "DEST", "CODING"], optional=status.FULL_STATUS_OPTIONAL)
+register("short_status", ["STATUS_POD"], _STATUS, _status, optional=_STATUS_OPTIONAL)
 register("aging", ["AGING_1ST", "CAREER_1ST", "AGING_POD", "CARRER_POD"],
          ["TGL_ENTRY", "1ST_ATTEMPT_DATE", "TGL_RECEIVED", "ETD", "STATUS_POD"],
-         lambda df, ctx: derive.aging_flags(df, ctx.calendar))
+         lambda df, ctx: derive.aging_flags(df, ctx.calendar), optional=[n for names in derive.AGING_NAMES.values() for n in names])
 register("pickups", ["CYCLE NAME", "REFF NUM", "PICK UP DATE", "CUSTOMER NAME", "RECIPIENT RELATION", "STATUS UOB",
                      "REASON 2"],
          ["REFNO_UOB", "STATUS_POD", "RECEIVED/REASON", "CODING", "AWB", "REASON RETURN", "TGL_RECEIVED"],
@@ -120,7 +125,7 @@ register("contacts", ["CONTACT", "NOTELP"], [],
          _columns(lambda df, ctx: {c: F.lit("*****") for c in ("CONTACT", "NOTELP")}))
 register("area", ["AREA MANDIRI", "SLA OOB"], ["REGIONAL", "AGING"],
          lambda df, ctx: lookups.area_promise(df, ctx.ref("area_sla")), changes=["CARRER"])
-register("address", ["ADDRESS"], [], _address)
+register("address", ["ADDRESS"], [], _address, optional=["ADDR1", "ADDR2", "ADDR3"])
 register("customer_name", ["CUST_NAME"], ["ID_ACCOUNT"],
          lambda df, ctx: lookups.account_name(df, ctx.ref("project_reference")))
 register("coordinates", ["STATUS_LATLONG"], ["STATUS_LATITUDE", "STATUS_LONGITUDE"], _columns(
@@ -129,7 +134,7 @@ register("arrival", ["ETA"], ["ETD", "TGL_ENTRY"],
          _columns(lambda df, ctx: {"ETA": arrival(col("TGL_ENTRY"), col("ETD"), ctx.calendar)}))
 register("delivery_remark", ["CODING_DELIVERY"], ["CODING"],
          lambda df, ctx: lookups.delivery_remark(df, ctx.ref("status_code")))
-register("delay", ["GROUPING_LATE"], ["ORIGIN", *[c for c in DELAY_INPUTS if c != "3_LC_ORIGIN"]], _delay)
+register("delay", ["GROUPING_LATE"], ["ORIGIN", *[c for c in DELAY_INPUTS if c != "3_LC_ORIGIN"]], _delay, optional=["3_LC_ORIGIN"])
 register("sla_bucket", ["GROUPING_SLA"], ["SLA"],
          _columns(lambda df, ctx: {"GROUPING_SLA": derive.sla_bucket(col("SLA"))}))
 register("pic", ["PIC"], [], _columns(lambda df, ctx: {"PIC": F.lit("JNE")}))
@@ -197,10 +202,15 @@ def needed_for(columns: list[str]) -> list[Derivation]:
     return [REGISTRY[name] for name in sorter.static_order()]
 
 
+def columns_read(columns: list[str]) -> set[str]:
+    """All columns that filling ``columns`` may read or write."""
+    return set(columns).union(*[{*d.inputs, *d.optional, *d.written} for d in needed_for(columns)])
+
+
 def derive_columns(df: DataFrame, columns: list[str], ctx: Context) -> DataFrame:
     """Run what the selected columns need; a missing input is an error, not a silent gap."""
     for d in needed_for(columns):
-        absent = [c for c in d.inputs if c not in df.columns and c != "STATUS_POD_UPDATE"]
+        absent = [c for c in d.inputs if c not in df.columns]
         if absent:
             raise ValueError(f"{d.name} needs the columns {absent}")
         df = d.run(df, ctx)

@@ -17,9 +17,9 @@ from shipreport.operators.overrides import apply_patches
 from shipreport.operators.projection import select_report, unique_names, with_insurance_id
 from shipreport.operators.receivers import clean_receivers
 from shipreport.plans.periods import period_window, splits_by_month
-from shipreport.plans.registry import Context, derive_columns
+from shipreport.plans.registry import Context, columns_read, derive_columns
 from shipreport.sinks.outputs import clean_output, split_labels, write_split
-from shipreport.sources.shipments import select_shipments
+from shipreport.sources.shipments import file_filter, select_shipments
 
 
 @dataclass(frozen=True)
@@ -96,17 +96,24 @@ def build_report(
     receiver_words: list[str] = (),
     tie_break: list[Column] | None = None,
     sort_order: Callable[[DataFrame], list[Column]] | None = None,
+    normalised_ids: bool = False,
 ) -> DataFrame:
-    """The rows of one report, as one lazy plan.
+    """The rows of one report. Looking up zips and numbering rows run jobs while the plan is built.
 
-    ``shipments`` is the partition-pruned master. ``accounts`` (column account_id)
+    ``shipments`` is the partition-pruned master. Unless the caller gives orders of
+    its own (``tie_break``, ``sort_order``), only the columns the report can touch
+    are read, and equally new rows of a waybill are told apart by a hash of those. ``accounts`` (column account_id)
     is used where the config lists no account of its own. ``patch`` holds manual
     corrections, applied before and after the derivations when the config asks
     for them. ``sort_order`` gives the order of the running number NO.
     """
     start, end = period_window(config.period, config.jumlah_bulan, ctx.as_of)
+    shipments = file_filter(shipments, config.parquet_name_contains, config.parquet_path_contains)
     df = select_shipments(shipments, window=("TGL_ENTRY", start, end), accounts=config.id_account or accounts,
-                          statuses=config.selected_statuses)
+                          statuses=config.selected_statuses, normalised_ids=normalised_ids)
+    if tie_break is None and sort_order is None:
+        df = df.select(*map(col, touched_columns(df, config, patch)))
+        tie_break = [F.xxhash64(*map(col, df.columns))]
     version = "TGL_TARIK_REPORT" if "TGL_TARIK_REPORT" in df.columns else "TGL_ENTRY"
     df = latest_per_key(df, "AWB", version, tie_break=tie_break)
     if config.clean_receiver and "RECEIVED/REASON" in df.columns:
@@ -149,6 +156,30 @@ def build_report(
         order=config.cust_ref.get("col_order"), carry=list(labels))
 
 
+def _texts(value) -> set[str]:
+    """Every text inside a config value, as column names are compared."""
+    if isinstance(value, dict):
+        return set().union(*[_texts(k) | _texts(v) for k, v in value.items()])
+    if isinstance(value, (list, tuple, set)):
+        return set().union(*map(_texts, value))
+    return {value.strip().upper()} if isinstance(value, str) else set()
+
+
+# Master columns every report reads.
+ALWAYS_READ = ["AWB", "TGL_ENTRY", "TGL_TARIK_REPORT", "ID_ACCOUNT", "STATUS_POD", "STATUS_POD_UPDATE"]
+
+
+def touched_columns(df: DataFrame, config: ReportConfig, patch: DataFrame | None = None) -> list[str]:
+    """The master columns a report can touch: what it selects and derives, and all its config names."""
+    if not config.selected_cols:
+        return df.columns
+    wanted = {c.upper() for c in columns_read(unique_names(with_insurance_id(list(config.selected_cols))))}
+    wanted |= {*ALWAYS_READ, *_texts([getattr(config, f.name) for f in fields(config)])}
+    wanted |= {c.upper() for c in patch.columns} if patch is not None else set()
+    wanted |= {"RECEIVED/REASON", "CONSIGNEE_NAME"} if config.clean_receiver else set()
+    return [c for c in df.columns if c.strip().upper() in wanted]
+
+
 def output_labels(config: ReportConfig, active_date: str = "TGL_ENTRY") -> dict[str, Column]:
     """The label columns that say which output a row belongs to."""
     return split_labels(
@@ -159,7 +190,9 @@ def output_labels(config: ReportConfig, active_date: str = "TGL_ENTRY") -> dict[
 
 def write_report(rows: DataFrame, config: ReportConfig, path: str) -> None:
     """Clean the cells and write one folder per output label."""
-    write_split(clean_output(rows), path, {name: col(name) for name in output_labels(config)})
+    order = [col("IS_CLOSE").desc_nulls_last()] if "IS_CLOSE" in rows.columns else []
+    order += [col("TGL_ENTRY").asc_nulls_last()] if "TGL_ENTRY" in rows.columns else []
+    write_split(clean_output(rows), path, {name: col(name) for name in output_labels(config)}, order=order)
 
 
 def combine(reports: dict[str, DataFrame]) -> DataFrame:

@@ -102,14 +102,18 @@ def tag_listed_values(df: DataFrame, name: str, values) -> DataFrame:
     return df.withColumn("sheet", F.explode(F.array_compact(F.array(*sheets))))
 
 
-def write_split(df: DataFrame, path: str, labels: dict[str, Column], *, kind: str = "parquet") -> None:
-    """One folder per label; rows without a label keep a folder of their own.
+def write_split(
+    df: DataFrame, path: str, labels: dict[str, Column], *, kind: str = "parquet", order: list[Column] = (),
+) -> None:
+    """One folder per label; rows without a label keep a folder of their own. Each file is in ``order``.
 
     Rebalancing lets adaptive execution cut a large output into several files and
     pack small ones, so one dominant output is not written by one task.
     """
     if labels:
         df = df.withColumns(labels).hint("rebalance", *labels)
+    if order:
+        df = df.sortWithinPartitions(*[col(name) for name in labels], *order)
     writer = df.write.mode("overwrite")
     if labels:
         writer = writer.partitionBy(*labels)
@@ -125,9 +129,10 @@ def manifest(spark: SparkSession, path: str, labels: list[str]) -> DataFrame:
 
 
 def append_snapshot(df: DataFrame, path: str, report: Column | str, as_of) -> None:
-    """Add today's status counts to the snapshot table."""
+    """Put the status counts of a day into the snapshot table; a second run of the day replaces its reports."""
     counts = status_counts(df, report).withColumn("as_of", F.lit(as_of))
-    counts.write.mode("append").partitionBy("as_of").parquet(path)
+    writer = counts.hint("rebalance", "as_of", "report").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("as_of", "report").parquet(path)
 
 
 def project_extract(table: DataFrame) -> DataFrame:

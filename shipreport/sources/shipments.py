@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shipreport.functions.moments import MONTHS
 from shipreport.functions.predicates import account_in, date_window, status_in, stored_account_in
-from shipreport.functions.text import account_key, col
+from shipreport.functions.text import account_id, account_key, col
 from shipreport.operators.projection import normalise_headers, present_columns
 from shipreport.session import apply_settings
 
@@ -27,7 +27,9 @@ def months_between(start: date, end: date) -> list[tuple[int, int]]:
 
 
 def write_shipments(df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
-    """Store the master by year, month and category, account ids in one spelling."""
+    """Store the master by year, month and category, account ids in one spelling (one apostrophe, no padding)."""
+    if "ID_ACCOUNT" in df.columns:
+        df = df.withColumn("ID_ACCOUNT", F.concat(F.lit("'"), account_id(col("ID_ACCOUNT"))))
     df = df.withColumns({
         YEAR: F.date_format(col(entry), "yyyy"),
         MONTH: F.date_format(col(entry), "MM"),
@@ -98,20 +100,22 @@ def select_shipments(
     window: tuple[str, date, date] | None = None,
     accounts: list[str] | DataFrame | None = None,
     statuses: list[str] | None = None,
-    normalised_ids: bool = True,
+    normalised_ids: bool = False,
 ) -> DataFrame:
     """Projection and row filters of a report.
 
-    The date window is compared in the column's own type and the account filter
-    on stored ids (``normalised_ids``), so both are evaluated by the file reader.
-    Ids with padding need ``normalised_ids=False``. A long account list is better
-    given as a table (column account_id) and becomes a semi join.
+    The date window is compared in the column's own type, so the file reader
+    evaluates it. Accounts match whatever the padding and apostrophes of either
+    side, listed or given as a table (column account_id, a semi join). A caller
+    who knows the stored ids to be in the spelling of ``write_shipments`` says so
+    with ``normalised_ids``; then the file reader evaluates a list as well.
     """
     if window:
         df = df.where(date_window(df, *window))
     if isinstance(accounts, DataFrame):
+        # account sheets may spell a number with .0; the master compares as stored
         wanted = accounts.select(account_key(col("account_id")).alias("_wanted")).distinct()
-        df = df.join(wanted, account_key(col("ID_ACCOUNT")) == F.col("_wanted"), "left_semi")
+        df = df.join(wanted, account_id(col("ID_ACCOUNT")) == F.col("_wanted"), "left_semi")
     elif accounts:
         match = stored_account_in if normalised_ids else account_in
         df = df.where(match(col("ID_ACCOUNT"), accounts))
@@ -147,8 +151,31 @@ def read_month_csv(spark: SparkSession, paths: list[str], keep: list[str] | None
     apply_settings(spark)
     if not paths:
         raise ValueError("no monthly extract to read")
-    frames = [normalise_headers(spark.read.csv(p, header=True, inferSchema=False)) for p in paths]
-    whole = frames[0]
-    for frame in frames[1:]:
-        whole = whole.unionByName(frame, allowMissingColumns=True)
+    whole = read_by_header(spark, paths)
     return present_columns(whole, keep) if keep else whole
+
+
+def read_by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """CSV files of any headers laid under each other by upper-cased column name.
+
+    Each file is read by its own first line: files with one header are one scan, so
+    the plan grows with the number of different headers and not with the files.
+    First lines are found by a job that reads the first block of each file.
+    """
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").withColumn("place", F.monotonically_increasing_id())
+    headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    whole = None
+    for row in headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        frame = normalise_headers(spark.read.csv(row.files, header=True, inferSchema=False))
+        whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
+    if whole is None:
+        raise ValueError("no file with a header line")
+    return whole
+
+
+def month_extract_paths(root: str, start_name: str, category: str, as_of: date) -> list[str]:
+    """A glob of the extracts of a category from the named month to the current one; absent months are skipped."""
+    months = months_back(as_of, months_since(start_name, as_of))
+    folders = [month_folder("", y, m, category).lstrip("/") for y, m in months]
+    return [f"{root}/{{{','.join(folders)}}}/*.csv"]
