@@ -162,7 +162,7 @@ def read_by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
     the plan grows with the number of different headers and not with the files.
     First lines are found by a job that reads the first block of each file.
     """
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    lines = spark.read.text(paths).select("value", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.file_block_start").alias("at"))
     first = lines.where("at = 0").withColumn("place", F.monotonically_increasing_id())
     headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
     whole = None
