@@ -84,13 +84,13 @@ def test_members_that_read_alike_stay_apart(spark):
 def test_monthly_files_with_other_headers(spark, tmp_path):
     folder = tmp_path / "1998" / "07. JULI 1998" / "CATEGORY" / "RETAIL"
     folder.mkdir(parents=True)
-    (folder / "a.csv").write_text("AWB,STATUS,TGL_ENTRY\n1,x,30-Jun-1998\n")
-    (folder / "b.csv").write_text("STATUS,AWB,TGL_ENTRY,TGL_TARIK_REPORT\ny,1,05-Jul-1998,06-Jul-1998\n")
+    (folder / "a.csv").write_text("AWB,STATUS,TGL_ENTRY\n1,x,30-Jun-1998 07:00\n")
+    (folder / "b.csv").write_text("STATUS,AWB,TGL_ENTRY,TGL_TARIK_REPORT\ny,1,05-Jul-1998 08:00,06-Jul-1998 09:30\n")
     paths = month_extract_paths(str(tmp_path), "JULI", "RETAIL", DAY)
     rows = read_month_csv(spark, paths)
     assert sorted((r.AWB, r.STATUS) for r in rows.collect()) == [("1", "x"), ("1", "y")]
     newest = newest_rows(rows).collect()
-    assert [(r.STATUS, r.TGL_ENTRY) for r in newest] == [("y", datetime(1998, 7, 5))]
+    assert [(r.STATUS, r.TGL_ENTRY) for r in newest] == [("y", datetime(1998, 7, 5, 8))]
 
 
 def test_written_files_are_in_order(spark, tmp_path):
