@@ -476,3 +476,39 @@ def split_by_column(spark, sf):
     sheets = [df.select(F.lit(split).alias("split"), outputs.by_column(c).alias("sheet")).where("sheet is not null")
               for split, c in (("date", "TGL_ENTRY"), ("value", "ZONA"))]
     return sheets[0].unionByName(sheets[1]).groupBy("split", "sheet").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_DAILY = [
+    {"group_name": "DAFTAR", "id_account": [f"'{n}" for n in range(1, 61)], "period": "year", "contact": ["a"],
+     "selected_cols": ["AWB", "TGL_ENTRY", "STATUS_POD", "NO"]},
+    {"group_name": "MACHINERY 3", "period": "previous_months", "jumlah_bulan": 6, "selected_cols": ["AWB", "TGL_ENTRY", "REGIONAL"], "split_by_col_val": "REGIONAL"},
+    {"group_name": "SUDAH", "id_account": ["'1"], "selected_cols": ["AWB"]},
+    {"groups_name": "GABUNGAN", "id_account": [f" {n} " for n in range(1, 200)], "selected_cols": ["AWB", "STATUS_POD"],
+     "reports": [{"group_name": "SATU", "period": "year"}, {"group_name": "DUA", "period": "last_n_months", "jumlah_bulan": 2}]},
+]
+
+
+def _daily_sql(name: str, accounts: str, start: str, end: str) -> str:
+    return (f"SELECT '{name}' AS report, count(DISTINCT coalesce(AWB, '-')) AS n_rows, '{AS_OF.isoformat()}' AS processed FROM s "
+            f"WHERE TGL_ENTRY >= TIMESTAMP '{start}' AND TGL_ENTRY < TIMESTAMP '{end}' AND nullif(trim(ltrim(trim(ID_ACCOUNT), chr(39))), '') IN ({accounts})")
+
+
+_UP_TO = "SELECT CAST(i AS STRING) FROM range(1, {}) t(i)"
+
+
+@query("daily_run", " UNION ALL ".join([
+    f"WITH s AS ({view_sql('AWB', 'ROW_KEY', 'TGL_ENTRY', 'ID_ACCOUNT')}) " + _daily_sql("DAFTAR", _UP_TO.format(61), "1998-01-01", "1999-01-01"),
+    _daily_sql("MACHINERY 3", "SELECT trim(ltrim(regexp_replace(trim(CUST_ID), '\\.0$', ''), chr(39))) FROM (" + PROJECTS + ") WHERE upper(trim(BIG_GROUPING_CUST)) = 'MACHINERY 3'",
+               "1998-01-01", "1998-07-01"),
+    _daily_sql("SATU", _UP_TO.format(200), "1998-01-01", "1999-01-01"), _daily_sql("DUA", _UP_TO.format(200), "1998-06-01", "1998-07-16")]))
+def daily_run(spark, sf):
+    from shipreport.plans.daily import RunInputs
+    from shipreport.plans.daily import daily_run as run
+    from shipreport.sources.shipments import write_shipments
+
+    root = fresh_path(spark, "master")
+    write_shipments(shipments(spark, sf, *_REPORT_COLUMNS, "CATEGORY"), root)
+    ledger = spark.createDataFrame([("SUDAH", AS_OF.isoformat()), ("LAMA", "1998-07-10")], "key string, processed string")
+    done = run(spark, _DAILY, root, fresh_path(spark, "outputs"), fresh_path(spark, "snapshots"),
+               Context(AS_OF, {"project_reference": projects(spark, sf)}, CALENDAR), RunInputs(ledger))
+    return done.manifest.join(done.ledger, F.col("report") == F.col("key")).select("report", "n_rows", "processed")
