@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shipreport.functions.text import account_key, account_text, clean, code_key, col, zip_text
 from shipreport.operators.asof import fill_forward
@@ -57,6 +57,9 @@ def attach(
         side = one_row_per_key(table, table_key, take, order)
     kept = [c for c in fact.columns if c not in take]
     left = fact.select(*map(col, kept), fact_key.alias("_fk"))
+    if isinstance(left.schema["_fk"].dataType, T.StringType):
+        # rows without a key match nothing; a value of their task's own keeps them from meeting in one
+        left = left.withColumn("_fk", F.coalesce("_fk", F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))))
     return left.join(side, F.col("_fk") == F.col("_k"), "left").drop("_fk", "_k")
 
 
