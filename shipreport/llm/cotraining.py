@@ -167,7 +167,7 @@ def train(sample: dict[str, np.ndarray], rounds: int, sure: float) -> Model:
     # words whose share of good documents is far from chance
     row, bucket = sample["row"], sample["bucket"]
     mine = np.isin(row, learn)
-    seen, good = (np.bincount(bucket[mine], v, BUCKETS) for v in (np.ones(mine.sum()), y[row[mine]]))
+    seen, good = np.bincount(bucket[mine], minlength=BUCKETS), np.bincount(bucket[mine], y[row[mine]], BUCKETS)
     p = y[learn].mean()
     telling = (seen >= 5) & (np.abs(good - p * seen) > TELLING * np.sqrt(seen * p * (1 - p)))
     number = np.cumsum(telling) - 1
@@ -235,7 +235,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     found = view.join(sample_ids, "_id").select("_id", "_y", "_lang", "_source", "_text").mapInArrow(run, schema).toArrow().combine_chunks().sort_by("_id")
     buckets, numbers = found.column("buckets").combine_chunks(), found.column("numbers").combine_chunks()
     sizes = np.array(pa.compute.list_value_length(buckets).to_numpy(zero_copy_only=False), np.int64) if len(found) else np.zeros(0, np.int64)
-    sample = {"y": found.column("_y").to_numpy(), "row": np.repeat(np.arange(len(found)), sizes), "bucket": buckets.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
+    sample = {"y": found.column("_y").to_numpy(), "row": np.repeat(np.arange(len(found), dtype=np.int32), sizes), "bucket": buckets.flatten().to_numpy(zero_copy_only=False),
               "numbers": numbers.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NUMBERS)), "lang": found.column("lang").to_numpy(), "source": found.column("source").to_numpy()}
     return train(sample, rounds, sure)
 

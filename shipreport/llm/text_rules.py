@@ -123,6 +123,40 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("id").alias(id_col), *BASE, "base_failed", kept.alias("kept"), "class_distance", "word_distance")
 
 
-@query("op8_quality_rules")
+def _sql() -> str:
+    """The same verdicts in DuckDB's SQL, from long tables of (document, bin, count)."""
+    plain = {"lower": "[a-z]", "upper": r"\p{Lu}", "digit": r"\p{N}", "stop": r"[.,;:!?''\"()-]", "symbol": r"[\p{S}#*%&@\\/|_~^]"}
+    gone = "length(solid) - length(regexp_replace(solid, '{}', '', 'g'))"
+    counts = {k: gone.format(v) for k, v in plain.items()} | {"accented": f"{gone.format('[a-z' + chr(92) + 'p{Ll}' + chr(92) + 'p{Lo}]')} - ({gone.format('[a-z]')})"}
+    words = ", ".join(f"('{w}')" for w in COMMON_WORDS)
+    side = lambda x: f"CASE WHEN {x} > 0 THEN {x} * log2({x} / ((p + q) / 2)) ELSE 0 END"
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws, regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g') AS solid FROM d),
+g AS (SELECT r, i, array_to_string(ws[i:i + 4], ' ') AS gram FROM (SELECT r, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+g2 AS (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g),
+rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM g2 WHERE n > 1) GROUP BY r),
+ln AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+b AS (SELECT w.r, doc_id, lang, ws, solid, len(ws) AS n_words, length(solid) AS word_chars, {gone.format("[#*$%&|<>]")} AS n_symbols,
+  coalesce(ln.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words FROM w LEFT JOIN rep USING (r) LEFT JOIN ln USING (r)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
+c0 AS (SELECT r, lang, base_failed, word_chars AS total, unnest([{", ".join(f"{{'k': '{k}', 'n': {v}}}" for k, v in counts.items())}], recursive := true) FROM f),
+c AS (SELECT r, lang, base_failed, total, k, n FROM c0 UNION ALL SELECT r, lang, base_failed, total, 'rest', greatest(total - sum(n), 0) FROM c0 GROUP BY r, lang, base_failed, total),
+bins AS (SELECT * FROM (VALUES {words}) t(k)),
+hw AS (SELECT r, x, count(*) AS n FROM (SELECT r, unnest(list_transform(ws, lambda y: lower(y))) AS x FROM f) WHERE x IN (SELECT k FROM bins) GROUP BY ALL),
+h0 AS (SELECT f.r, lang, base_failed, n_words AS total, k, coalesce(n, 0) AS n FROM f CROSS JOIN bins LEFT JOIN hw ON hw.r = f.r AND x = k),
+h AS (SELECT * FROM h0 UNION ALL SELECT r, lang, base_failed, total, '', greatest(total - sum(n), 0) FROM h0 GROUP BY r, lang, base_failed, total),
+both_ AS (SELECT 'c' AS kind, * FROM c UNION ALL SELECT 'h', * FROM h),
+ref AS (SELECT kind, lang, k, coalesce(sum(n) FILTER (NOT base_failed), 0) AS n FROM both_ GROUP BY ALL),
+rt AS (SELECT kind, lang, sum(n) AS total FROM ref GROUP BY ALL),
+pq AS (SELECT kind, r, total, rt_total, n / greatest(sum(n) OVER (PARTITION BY kind, r), 1) AS p, m / greatest(rt_total, 1) AS q FROM
+  (SELECT b1.kind, b1.r, b1.total, b1.n, ref.n AS m, rt.total AS rt_total FROM both_ b1 JOIN ref ON ref.kind = b1.kind AND ref.lang = b1.lang AND ref.k = b1.k
+   JOIN rt ON rt.kind = b1.kind AND rt.lang = b1.lang)),
+js AS (SELECT kind, r, any_value(total) AS total, any_value(rt_total) AS rt_total, sqrt(greatest(sum(({side("p")} + {side("q")}) / 2), 0)) AS dist FROM pq GROUP BY kind, r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed
+  AND NOT coalesce(jc.total >= 200 AND jc.rt_total >= 200 AND jc.dist > 0.25, false) AND NOT coalesce(jh.total >= 50 AND jh.rt_total >= 50 AND jh.dist > 0.4, false) AS kept
+FROM f LEFT JOIN js jc ON jc.r = f.r AND jc.kind = 'c' LEFT JOIN js jh ON jh.r = f.r AND jh.kind = 'h'"""
+
+
+@query("op8_quality_rules", _sql())
 def op8(spark, sf_dir):
-    return quality_rules(documents(spark, sf_dir))
+    return quality_rules(documents(spark, sf_dir)).drop("class_distance", "word_distance")
