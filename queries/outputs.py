@@ -48,11 +48,12 @@ WHERE o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '1998-08
 def ref_period_union(spark, sf):
     root = fresh_path(spark, "lists")
     orders = table(spark, sf, "orders").withColumn("period", F.date_format("o_orderdate", "yyMM"))
-    for period, extra in (("9805", []), ("9806", [F.col("o_orderstatus").alias("Status")]),
-                          ("9807", [F.col("o_orderpriority").alias("layanan")])):
-        orders.where(F.col("period") == period).select(F.col("o_orderkey").alias("awb"), *extra).write.csv(
-            f"{root}/{period}", header=True)
-    return references.read_list_folders(spark, root, 2, AS_OF).drop("_source_file")
+    # every month has a folder; June and July files have a column of their own
+    awb = F.col("o_orderkey").alias("awb")
+    for months, extra in ((~F.month("o_orderdate").isin(6, 7), []), (F.month("o_orderdate") == 6, [F.col("o_orderstatus").alias("Status")]),
+                          (F.month("o_orderdate") == 7, [F.col("o_orderpriority").alias("layanan")])):
+        orders.where(months).select("period", awb, *extra).write.mode("append").partitionBy("period").csv(f"{root}/parts", header=True)
+    return references.read_list_folders(spark, f"{root}/parts", 2, AS_OF, folder="period={}").drop("_source_file")
 
 
 _FOLDERS = [("DATA BS CREDIT CARD CY 1-5 JULI 1998", "a_SD_OUTPUT"), ("Data BS UOB Cashplus CY 10 JUNI 1998", "b"),
@@ -203,13 +204,13 @@ _EVENT_STATUS = ("CASE WHEN user_id % 5 = 4 THEN 'Success' WHEN event_type = 'er
                  " ELSE 'Success' END")
 
 
-def _snapshot(spark, sf, day: int):
-    """Status counts per report on two days: some reports have grown by the second, some are new, some are gone."""
+def _snapshot(spark, sf, day: int | None = None):
+    """Status counts per report: of all events, or of two days between which some reports have grown, come or gone."""
     events = table(spark, sf, "events").select(
         F.expr(_report_name("user_id")).alias("report"), F.expr(_EVENT_STATUS).alias("STATUS_POD"), "user_id", "ts")
     if day == 1:
         events = events.where("user_id % 4 <> 0 OR ts < TIMESTAMP '2024-01-20 00:00:00'").where("user_id % 7 <> 3")
-    else:
+    elif day == 2:
         events = events.where("user_id % 7 <> 5")
     return runstate.status_counts(events, F.col("report"))
 
@@ -232,10 +233,10 @@ def _changes(spark, sf):
     return runstate.report_changes(reports, _snapshot(spark, sf, 2), _snapshot(spark, sf, 1), AS_OF)
 
 
-@query("status_snapshot", f"WITH {_SNAPSHOTS} SELECT report, status, n, DATE '{AS_OF.isoformat()}' AS as_of FROM now1")
+@query("status_snapshot", f"WITH {_SNAPSHOTS} SELECT report, status, count(*) AS n, DATE '{AS_OF.isoformat()}' AS as_of FROM e GROUP BY 1, 2")
 def status_snapshot(spark, sf):
     path = fresh_path(spark, "snapshot")
-    events = table(spark, sf, "events").where("user_id % 7 <> 5").select(
+    events = table(spark, sf, "events").select(
         F.expr(_report_name("user_id")).alias("name"), F.expr(_EVENT_STATUS).alias("STATUS_POD"))
     for _ in range(2):  # a second run of the day replaces the first
         outputs.append_snapshot(events, path, F.col("name"), AS_OF)
@@ -266,9 +267,9 @@ def next_baseline(spark, sf):
 
 
 @query("closed_subset", f"""WITH {_SNAPSHOTS}
-SELECT report, bool_and(status IN ('Success', 'Return Shipper')) AS closed_only FROM now1 GROUP BY 1""")
+SELECT report, bool_and(status IN ('Success', 'Return Shipper')) AS closed_only FROM e WHERE status IS NOT NULL GROUP BY 1""")
 def closed_subset(spark, sf):
-    return runstate.closed_only(_snapshot(spark, sf, 2))
+    return runstate.closed_only(_snapshot(spark, sf))
 
 
 _LEDGER = {

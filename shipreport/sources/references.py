@@ -12,7 +12,7 @@ from shipreport.operators.lookups import require_columns
 from shipreport.operators.projection import normalise_headers
 from shipreport.operators.profile import normalise_dates
 from shipreport.session import apply_settings
-from shipreport.sources.shipments import months_back
+from shipreport.sources.shipments import months_back, read_by_header
 
 
 def _csv(spark: SparkSession, path: str, sep: str, encoding: str) -> DataFrame:
@@ -67,30 +67,18 @@ def read_list_file(spark: SparkSession, path: str, date_column: str, months: int
     return out.withColumnRenamed("_SOURCE_FILE", "_source_file")
 
 
-def files_below(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob; listing only, the content column is never read."""
-    listed = spark.read.format("binaryFile").load(pattern).select("path").distinct()
-    return sorted(r.path for r in listed.collect())
+def read_list_folders(spark: SparkSession, root: str, months: int, as_of: date, folder: str = "{}") -> DataFrame:
+    """All CSV files of the last months' folders, by column name, tagged with period and file.
 
-
-def read_list_folders(spark: SparkSession, root: str, months: int, as_of: date) -> DataFrame:
-    """All CSV files of the last months' ``yymm`` folders, by column name, tagged with period and file.
-
-    The files of one customer are few and differ in their columns, so each is
-    read with its own header and laid under the others.
+    ``folder`` names a month's folder, with ``{}`` for its ``yymm``; absent months are skipped.
+    Files of one customer differ in their columns: those with one header are read together.
     """
     apply_settings(spark)
     periods = [f"{y % 100:02d}{m:02d}" for y, m in months_back(as_of, months)]
-    paths = files_below(spark, f"{root}/{{{','.join(periods)}}}/*.csv")
-    if not paths:
-        raise ValueError(f"no list file in {root} for {periods}")
-    whole = None
-    for path in paths:
-        frame = normalise_headers(spark.read.csv(path, header=True, inferSchema=False))
-        frame = frame.withColumns({
-            "_source_period": F.lit(path.rsplit("/", 2)[1]), "_source_file": F.lit(path.rsplit("/", 1)[1])})
-        whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
-    return whole
+    pattern = f"{root}/{{{','.join(folder.format(p) for p in periods)}}}/*.csv"
+    before = F.regexp_extract("_source_file", r"([^/]+)/[^/]+$", 1)
+    rows = read_by_header(spark, [pattern], source="_source_file")
+    return rows.withColumns({"_source_period": F.right(before, F.lit(4)), "_source_file": F.regexp_extract("_source_file", r"([^/]+)$", 1)})
 
 
 def split_fields(line: Column) -> Column:

@@ -155,19 +155,23 @@ def read_month_csv(spark: SparkSession, paths: list[str], keep: list[str] | None
     return present_columns(whole, keep) if keep else whole
 
 
-def read_by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_by_header(spark: SparkSession, paths: list[str], source: str | None = None) -> DataFrame:
     """CSV files of any headers laid under each other by upper-cased column name.
 
     Each file is read by its own first line: files with one header are one scan, so
     the plan grows with the number of different headers and not with the files.
-    First lines are found by a job that reads the first block of each file.
+    First lines are found by a job that reads the first block of each file. ``source``
+    names a column for the path of a row's file.
     """
     lines = spark.read.text(paths).select("value", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.file_block_start").alias("at"))
     first = lines.where("at = 0").withColumn("place", F.monotonically_increasing_id())
     headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
     whole = None
     for row in headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        frame = normalise_headers(spark.read.csv(row.files, header=True, inferSchema=False))
+        read = spark.read.csv(row.files, header=True, inferSchema=False)
+        frame = normalise_headers(read)
+        if source:
+            frame = read.select("*", F.col("_metadata.file_path").alias(source)).toDF(*frame.columns, source)
         whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
     if whole is None:
         raise ValueError("no file with a header line")
