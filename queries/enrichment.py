@@ -173,7 +173,7 @@ o AS (SELECT DISTINCT group_name FROM c WHERE account_id IS NULL)
 SELECT DISTINCT group_name, account_id, 'explicit' AS source FROM c WHERE account_id IS NOT NULL
 UNION ALL SELECT DISTINCT group_name, id, 'group' FROM o JOIN q ON g = group_name
 UNION ALL SELECT DISTINCT group_name, id, 'name' FROM o JOIN q ON regexp_matches(nm, group_name)
-  WHERE group_name NOT IN (SELECT g FROM q WHERE g IS NOT NULL) AND group_name = 'CUSTOMER#00000002'""")
+  WHERE group_name NOT IN (SELECT g FROM q WHERE g IS NOT NULL)""")
 def accounts_of_reports(spark, sf):
     customers = table(spark, sf, "customer")
     configs = customers.select(
@@ -183,9 +183,10 @@ def accounts_of_reports(spark, sf):
     brand = customers.select(F.lit("CUSTOMER#00000002").alias("group_name"),
                              F.lit(None).cast("string").alias("account_id")).distinct()
     accounts = projects(spark, sf)
-    return lookups.explicit_accounts(
-        configs.unionByName(brand), lookups.group_accounts(accounts),
-        lookups.accounts_by_name(accounts, ["CUSTOMER#00000002"]))
+    wanted, groups = configs.unionByName(brand), lookups.group_accounts(accounts)
+    # names of configs without accounts or a group of their name; configs are few
+    unmatched = wanted.where("account_id is null").select("group_name").distinct().join(groups, "group_name", "left_anti")
+    return lookups.explicit_accounts(wanted, groups, lookups.accounts_by_name(accounts, sorted(r.group_name for r in unmatched.collect())))
 
 
 # ---- customer lists --------------------------------------------------------
