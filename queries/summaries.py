@@ -138,11 +138,15 @@ _PRESET_COLUMNS = [
     "AWB", "AMOUNT", "STATUS_POD", "3 LC DEST", "CARRER", "ID_ACCOUNT", "TGL_ENTRY", "ORIGIN", "REASON RETURN",
     "SERVICE", "ZONA", "REGIONAL", "CARRER_POD",
 ]
-# Presets whose fields are all among these columns; the others need derived ones.
-_PRESETS_HERE = [
-    (name, p) for name, pivots in PRESETS.items() for p in pivots
-    if all(f in _PRESET_COLUMNS for f in [*p.rows, *p.columns, *(m.field for m in p.values)])
-]
+# Columns the presets take from derivations (which have queries of their own), here from master columns.
+_DERIVED = {
+    "AJ Car Status": "CASE WHEN STATUS_POD = 'Success' THEN 'Delivered' ELSE 'Open' END", "KETERANGAN AJ CAR": "'ket ' || STATUS_POD",
+    "CODING_UNDEL": "SERVICE", "REASON UNDEL": "ZONA", "DEPT PZC": "'PZC ' || ID_ACCOUNT", "ORIGIN 2": "substr(ORIGIN, 1, 3)",
+    "CYCLE NAME": "'CY ' || SERVICE", "STATUS": "STATUS_POD", "REFF NUM": "AWB", "KET AWB": "CASE WHEN AWB IS NULL THEN 'none' ELSE 'found' END",
+    "CUSTOMER": "'HO'", "CUST_NAME": "'name ' || ID_ACCOUNT", "CAREER_1ST": "CARRER_POD", "WILAYAH": "REGIONAL",
+    "PERIODE": "'bulan ' || CAST(month(TGL_ENTRY) AS STRING)", "WEEK_OF_YEAR": "CAST(weekofyear(TGL_ENTRY) AS INT)",
+}
+_PRESETS_HERE = [(name, p) for name, pivots in PRESETS.items() for p in pivots]
 
 
 def _member_sql(f: str) -> str:
@@ -164,13 +168,14 @@ def _preset_sql() -> str:
             value = "amount" if m.field == "AMOUNT" else "n" if over is None else f"n / sum(n) OVER ({over})"
             arms.append(f"""SELECT '{name}' AS preset, '{p.name}' AS pivot, '{m.label}' AS measure, r AS row_member,
               c AS column_member, round(CAST({value} AS DOUBLE), 6) AS value FROM ({inner})""")
-    return f"WITH s AS ({view_sql(*_PRESET_COLUMNS)})\n" + "\nUNION ALL ".join(arms)
+    derived = ", ".join(f'{e} AS "{c}"' for c, e in _DERIVED.items())
+    return f"WITH s AS (SELECT *, {derived} FROM ({view_sql(*_PRESET_COLUMNS)}))\n" + "\nUNION ALL ".join(arms)
 
 
 @query("pivot_presets", _preset_sql())
 def pivot_presets(spark, sf):
     # As in a report run, the pivots read the stored report, each its own columns.
-    df = stored(shipments(spark, sf, *_PRESET_COLUMNS), "presets")
+    df = stored(shipments(spark, sf, *_PRESET_COLUMNS).withColumns({c: F.expr(e) for c, e in _DERIVED.items()}), "presets")
     whole = None
     for name, p in _PRESETS_HERE:
         long = pivot_long(df, p)
