@@ -381,3 +381,44 @@ def test_long_texts_in_pieces(spark, monkeypatch):
 
 def test_repeated_passages_of_no_rows(none):
     assert suffix_dedup.repeated_passages(none).count() == 0
+
+
+# ---- licence scans --------------------------------------------------------------------------
+
+
+def plain_licenses(text, least=0.8):
+    """Best likeness over all stretches and templates, and the licences that reach the bound."""
+    import re
+
+    from shipreport.llm import license_scan
+
+    def grams(t):
+        w = re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        return list(zip(w, w[1:]))
+
+    best, mine = 0.0, grams(text or "")
+    for _, template in license_scan.templates():
+        want = set(grams(template))
+        high = int(len(want) * (2 - least) / least + 1e-9)
+        for i in range(len(mine)):
+            for j in range(i + 1, min(len(mine), i + high) + 1):
+                have = set(mine[i:j])
+                best = max(best, 2 * len(have & want) / (len(have) + len(want)))
+    return best if best >= least else None
+
+
+def test_license_scan(spark, docs, none):
+    from shipreport.llm import license_scan
+
+    lines = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License.", "ALL RIGHTS\nRESERVED", "Licensed under CC BY-NC 4.0.",
+             "This work is licensed under the GNU General Public License, version 3.", "This work is licensed under the GNU General Public License, version 2.",
+             "this work was licensed under the apache license version 2 0", "license to drive under the bridge", "rights reserved", None, ""]
+    texts = [(i, None if t is None else f"{base_text(20, i)} {t} {base_text(15, i + 50)}" if t else t) for i, t in enumerate(lines)]
+    texts += [(20, " ".join(lines[:5])), (21, lines[1] * 3)]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got[i].license for i in range(8)] == ["Apache-2.0", "MIT", "All-Rights-Reserved", "CC-BY-NC-4.0", "GPL-3.0", "GPL-2.0", "Apache-2.0", None]
+    for i, t in texts:
+        want = plain_licenses(t)
+        assert got[i].score == (None if want is None else pytest.approx(want))
+    assert {m.license for m in got[20].matches} == {"Apache-2.0", "MIT", "All-Rights-Reserved", "CC-BY-NC-4.0", "GPL-3.0"}
+    assert license_scan.scan_licenses(docs).count() == docs.count() and license_scan.scan_licenses(none).count() == 0
