@@ -57,9 +57,10 @@ def attach(
         side = one_row_per_key(table, table_key, take, order)
     kept = [c for c in fact.columns if c not in take]
     left = fact.select(*map(col, kept), fact_key.alias("_fk"))
-    if isinstance(left.schema["_fk"].dataType, T.StringType):
-        # rows without a key match nothing; a value of their task's own keeps them from meeting in one
-        left = left.withColumn("_fk", F.coalesce("_fk", F.concat(F.lit("\u0000"), F.spark_partition_id().cast("string"))))
+    if "AWB" in kept and isinstance(left.schema["_fk"].dataType, T.StringType):
+        # rows without a key match nothing; a value by waybill keeps them from meeting in one task
+        spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(col("AWB")), F.lit(1024)).cast("string"))
+        left = left.withColumn("_fk", F.coalesce("_fk", spread))
     return left.join(side, F.col("_fk") == F.col("_k"), "left").drop("_fk", "_k")
 
 
