@@ -422,3 +422,24 @@ def test_license_scan(spark, docs, none):
         assert got[i].score == (None if want is None else pytest.approx(want))
     assert {m.license for m in got[20].matches} == {"Apache-2.0", "MIT", "All-Rights-Reserved", "CC-BY-NC-4.0", "GPL-3.0"}
     assert license_scan.scan_licenses(docs).count() == docs.count() and license_scan.scan_licenses(none).count() == 0
+
+
+def test_license_scan_of_other_wordings(spark):
+    """Statements, versions, SPDX lines and whole texts that the few statement forms miss or take for another version."""
+    from shipreport.llm import license_scan
+
+    want = {"Distributed under the MIT License": "MIT", "The MIT License (MIT)": "MIT", "This project is available under the MIT License": "MIT", "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+            "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1", "Licensed under GPLv3": "GPL-3.0", "we use the GNU Lesser General Public License v2.1 here": "LGPL-2.1", "ISC License": "ISC",
+            "Licensed under the GNU General Public License": "GPL", "This work is licensed under a Creative Commons Attribution 3.0 International License": "CC-BY-3.0", "Licensed under the Apache License, Version 1.1": "Apache-1.1",
+            "the Eclipse Public License v2.0": "EPL-2.0", "a public road under the bridge is free": None}
+    rows = [(i, f"{base_text(20, i)} {t} {base_text(15, i + 50)}") for i, t in enumerate(want)]
+    bodies = sorted(license_scan.BODIES.glob("*.txt"))
+    for k, path in enumerate(bodies):  # each with a word changed
+        text = path.read_text().split()
+        text[len(text) // 3] = "changed"
+        rows.append((100 + k, f"{base_text(20, k)} {' '.join(text)} {base_text(20, k + 9)}"))
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert [got[i].license for i in range(len(want))] == list(want.values())
+    for k, path in enumerate(bodies):
+        assert (got[100 + k].license, len(got[100 + k].matches)) == (path.stem, 1), path.stem
+        assert got[100 + k].matches[0].n_words > 0.9 * len(path.read_text().split())
