@@ -8,8 +8,11 @@ nodes of such a region also meet the region's hub, the node that lies in the lar
 in chunks. Within a region the full shingle sets decide, in matrix blocks, and a region gives
 only the links of a spanning forest. Components come from those links.
 
-Depth 4 in 24 orders misses a link of similarity 0.85 with a chance of 2e-8. Where regions had
-to grow the chance is larger for the weakest links between two nodes that the hub doesn't join.
+Hubs and longer prefixes join most of a crowded region. Where its nodes are then still in several
+components, an exact join settles the rest: of two sets that are similar enough, the rarest shingles
+have one in common (prefix filter), and all pairs of different components that do are compared.
+
+So a link of similarity 0.85 is missed only if no region holds it, with a chance of 2e-8.
 """
 
 from __future__ import annotations
@@ -100,8 +103,8 @@ def distinct_groups(found: DataFrame) -> DataFrame:
     return found.groupBy("size", "_a", "_b").agg(F.min(place).alias("x")).select("x.*")
 
 
-def regions(nodes: DataFrame) -> DataFrame:
-    """(region, node): the groups whose members are compared with one another."""
+def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(region, node): the groups whose members are compared with one another; (tree, key, node): those of crowded regions."""
     trees = F.explode(F.array(*[F.struct(F.lit(o).alias("tree"), prefix(o, DEPTH).alias("key")) for o in range(ORDERS)]))
     placed = nodes.select("node", "n_shingles", trees.alias("x")).select("node", "n_shingles", "x.*")
     fits = (F.col("size") <= NODES) & (F.col("shingles") <= SHINGLES)
@@ -110,7 +113,7 @@ def regions(nodes: DataFrame) -> DataFrame:
     groups = [placed.join(once, ["tree", "key"]).select(F.xxhash64("tree", "key").alias("region"), "node")]
     crowded = found.where(~fits)
     if crowded.isEmpty():
-        return groups[0]
+        return groups[0], None
     inside = cut(placed.join(crowded.select("tree", "key", "size"), ["tree", "key"]))
     weight = inside.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = inside.join(weight, "node").groupBy("tree", "key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"), F.first("size").alias("size"))
@@ -134,7 +137,7 @@ def regions(nodes: DataFrame) -> DataFrame:
     out = groups[0]
     for more in groups[1:]:
         out = out.unionAll(more)
-    return out
+    return out, inside
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -229,6 +232,47 @@ def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, perc
     return sorted_.mapInArrow(compare, "a long, b long").distinct()
 
 
+def rare_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, roots: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """(region, node): a node with those of other components it can be similar to, in chunks; nodes of crowded regions.
+
+    Shingles are ordered from rare to frequent. If a and b have percent/100 of their union in common and
+    a isn't larger, one of the first |a| - ceil(2 p |a| / (100 + p)) + 1 of a is among the first
+    |b| - ceil(p |b| / 100) + 1 of b. What all texts of a template share lies behind these.
+    """
+    rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("tree", "key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("tree", "key")
+    open_ = cut(rooted.join(several, ["tree", "key"], "left_semi").select("node", "root").distinct())
+    if open_.isEmpty():
+        return None
+    wanted = open_.join(nodes.select("node", "rep_d", "rep_t", F.col("n_shingles").alias("n")), "node")
+    texts = docs.select("d", "t", "text").join(wanted, (F.col("d") == F.col("rep_d")) & (F.col("t") == F.col("rep_t"))).select("node", "text").dropDuplicates(["node"])
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in steps(batch.column(1)):
+                sets = list(shingle_sets(data, offsets, width))
+                names = np.repeat(batch.column(0).slice(row, end - row).to_numpy(zero_copy_only=False), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(np.concatenate(sets).view(np.int64))], names=["node", "shingle"])
+
+    every = stored(texts.mapInArrow(explode, "node long, shingle long"), "shingles")
+    often = every.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    # shingles of one node are its rarest and find nothing: they only take places
+    ranked = every.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1)))
+    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))).where("often > 1")
+    ranked = ranked.join(wanted.select("node", "root", "n"), "node")
+    behind = ranked.where(f"place <= n - ceil({percent} * n / 100D - 1e-9) + 1")
+    mixed = behind.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("shingle")
+    behind = stored(behind.join(mixed, "shingle", "left_semi").select("shingle", "node", "root", "n", "place"), "rare")
+    small = behind.where(f"place <= n - ceil(2D * {percent} * n / (100 + {percent}) - 1e-9) + 1")
+    a, b = (x.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n")]) for x, side in ((small, "a"), (behind, "b")))
+    pairs = a.join(b, "shingle").where(f"root_a <> root_b and (n_a < n_b or n_a = n_b and node_a < node_b) and 100 * n_a >= {percent} * n_b").select("node_a", "node_b").distinct()
+    pairs = stored(pairs, "pairs")
+    counts = pairs.groupBy("node_a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    chunk = F.xxhash64(F.lit("rare"), "node_a", F.pmod(F.xxhash64("node_b"), "chunks"))
+    met = pairs.join(counts, "node_a").select(chunk.alias("region"), "node_a", "node_b")
+    return met.select("region", F.explode(F.array("node_a", "node_b")).alias("node")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of an edge is joined with.
 
@@ -271,8 +315,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = signed.where("n_shingles > 0").groupBy("name").agg(
         F.min(F.when(F.col("d") != least, F.col("d"))).alias("first"), F.min(F.struct("d", "t")).alias("rep"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature"))
     nodes = stored(nodes.select("name", F.xxhash64("name").alias("node"), "first", F.col("rep.d").alias("rep_d"), F.col("rep.t").alias("rep_t"), "n_shingles", "signature"), "nodes")
-    groups = stored(regions(nodes), "regions")
-    roots = components(links(rows, nodes, groups, width, percent))
+    groups, crowded = regions(nodes)
+    found = links(rows, nodes, stored(groups, "regions"), width, percent)
+    if crowded is None:
+        roots = components(found)
+    else:
+        found = stored(found, "links")
+        roots = components(found)
+        rest = rare_pairs(rows, nodes, crowded, roots, width, percent)
+        if rest is not None:
+            roots = components(found.unionAll(links(rows, nodes, stored(rest, "rest"), width, percent)))
     named = nodes.select("name", "node", "first").join(roots, "node", "left").select("name", "first", F.coalesce("root", "node").alias("root"))
     best = named.groupBy("root").agg(F.min("first").alias("component"))
     labels = named.join(best, "root").select("name", "root", "component")

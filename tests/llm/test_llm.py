@@ -277,6 +277,22 @@ def test_crowded_regions(spark, monkeypatch):
     assert [got[i] for i, _ in rows] == want
 
 
+def test_crowded_mesh(spark, monkeypatch):
+    """Pages of one template, no two of them similar, with planted pairs just above the threshold."""
+    monkeypatch.setattr(near_dedup, "NODES", 16)
+    monkeypatch.setattr(near_dedup, "CHUNK", 8)
+    template = [f"t{k}" for k in range(910)]
+    pages = [[*template, *(f"p{i}n{k}" for k in range(90))] for i in range(400)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(pages)]
+    rows += [(10_000 + i, " ".join([*pages[i][:920], *(f"e{i}n{k}" for k in range(80))])) for i in range(60)]
+    sets = [brute.shingles(t, 3) for _, t in rows]
+    alike = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in ((0, 400), (0, 1), (400, 401), (0, 401))]
+    assert 0.85 < alike[0] < 0.86 and max(alike[1:]) < 0.85
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.id: r.component_id for r in near_dedup.near_duplicates(frame, width=3, percent=85).collect()}
+    assert got == {i: i - 10_000 if i >= 10_000 else i for i, _ in rows}
+
+
 def test_one_of_each(docs, none):
     kept = near_dedup.one_of_each(docs)
     assert kept.columns == docs.columns and near_dedup.one_of_each(none).count() == 0
