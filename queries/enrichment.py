@@ -184,9 +184,9 @@ def accounts_of_reports(spark, sf):
                              F.lit(None).cast("string").alias("account_id")).distinct()
     accounts = projects(spark, sf)
     wanted, groups = configs.unionByName(brand), lookups.group_accounts(accounts)
-    # names of configs without accounts or a group of their name; configs are few
+    # names of configs without accounts or a group of their name, looked up in the name index
     unmatched = wanted.where("account_id is null").select("group_name").distinct().join(groups, "group_name", "left_anti")
-    return lookups.explicit_accounts(wanted, groups, lookups.accounts_by_name(accounts, sorted(r.group_name for r in unmatched.collect())))
+    return lookups.explicit_accounts(wanted, groups, lookups.accounts_by_pattern(accounts, unmatched))
 
 
 # ---- customer lists --------------------------------------------------------

@@ -215,6 +215,16 @@ def ids_by_name_theta(spark, sf):
     return lookups.accounts_by_name(projects(spark, sf), _NAMES)
 
 
+@query("ids_by_name_index", f"""WITH p AS ({PROJECTS}), names AS (SELECT unnest({_NAMES}) AS group_name UNION SELECT n_name FROM nation)
+SELECT group_name, CASE WHEN starts_with(trim(CUST_ID), chr(39)) THEN trim(CUST_ID) ELSE concat(chr(39), trim(CUST_ID)) END
+  AS account_id, min(row_idx) AS first_idx
+FROM p, names WHERE regexp_matches(upper(CUST_NAME), upper(group_name)) GROUP BY 1, 2""")
+def ids_by_name_index(spark, sf):
+    """Accounts by name through the gram index of customer names; the patterns are a table."""
+    names = spark.createDataFrame([(n,) for n in _NAMES], "group_name string").unionByName(table(spark, sf, "nation").select(F.col("n_name").alias("group_name")))
+    return lookups.accounts_by_pattern(projects(spark, sf), names)
+
+
 # ---- date columns ----------------------------------------------------------
 
 _RAW = {

@@ -241,6 +241,70 @@ def accounts_by_name(projects: DataFrame, names: list[str], *, literal: bool = F
     return rows.groupBy("group_name", "account_id").agg(F.min("row_idx").alias("first_idx"))
 
 
+#: Longest grams of the name index; shorter literal runs are looked up as grams of their own length.
+GRAM = 3
+_CUT = "\u0000"
+
+
+def required_runs(pattern: Column, literal: bool = False) -> Column:
+    """Literal runs every match of a regex must contain, upper-cased.
+
+    Escapes, character classes, characters made optional by ?, * or {0,} and all other
+    metacharacters cut runs. A pattern with a group or an alternation gives none: every name
+    is then a candidate, so nothing is missed.
+    """
+    upper = F.upper(pattern)
+    if literal:
+        return F.array(upper)
+    p = F.regexp_replace(upper, r"\\.", _CUT)
+    p = F.regexp_replace(p, r"\[[^\]]*\]", _CUT)
+    p = F.regexp_replace(p, r".(?:[?*]|\{0(?:,\d*)?\})", _CUT)
+    p = F.regexp_replace(p, r"\{\d+(?:,\d*)?\}", _CUT)
+    runs = F.filter(F.split(p, r"[\x00.^$*+?()\[\]{}|\\]"), lambda r: F.length(r) > 0)
+    return F.when(upper.rlike(r"[(|]"), F.array().cast("array<string>")).otherwise(runs)
+
+
+def grams(text: Column, size: int) -> Column:
+    """All substrings of `size` characters; the text itself where it is shorter."""
+    n = F.length(text)
+    return F.when(n <= size, F.array(text)).otherwise(
+        F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substring(text, i, size)))
+
+
+def name_index(names: DataFrame) -> DataFrame:
+    """(gram, name): the inverted index of names by every substring of 1 to GRAM characters.
+
+    Every name is listed under the empty gram too: the posting list of a pattern that needs no
+    literal, which may match any name.
+    """
+    every = F.flatten(F.array(F.array(F.lit("")), *[F.when(F.length("name") >= k, grams(F.col("name"), k)).otherwise(F.array().cast("array<string>")) for k in range(1, GRAM + 1)]))
+    return names.select(F.explode(F.array_distinct(every)).alias("gram"), "name")
+
+
+def accounts_by_pattern(projects: DataFrame, patterns: DataFrame, *, literal: bool = False) -> DataFrame:
+    """(group_name, account_id, first_idx) of customers whose upper-cased name matches a pattern.
+
+    ``patterns`` has group_name, a regex (a plain text if ``literal``) matched against the
+    upper-cased name anywhere in it, as ``accounts_by_name`` does. Names never leave Spark: each
+    pattern is looked up in a gram index of the names by the rarest gram of its required literal
+    runs, and the regex runs on those candidates only. A pattern without a literal run (a group,
+    an alternation, only metacharacters) takes the list of every name, so nothing is missed.
+    Null patterns and null names match nothing.
+    """
+    names = projects.select(F.upper(col("CUST_NAME")).alias("name")).where("name is not null").distinct()
+    index = name_index(names)
+    wanted = patterns.select("group_name").where("group_name is not null").distinct()
+    runs = wanted.select("group_name", F.explode_outer(required_runs(F.col("group_name"), literal)).alias("run"))
+    needed = runs.select("group_name", F.explode(F.when(F.col("run").isNull(), F.array(F.lit(""))).otherwise(grams(F.col("run"), GRAM))).alias("gram")).distinct()
+    rarity = index.groupBy("gram").agg(F.count("*").alias("df"))
+    rarest = needed.join(rarity, "gram", "left").groupBy("group_name").agg(F.min_by("gram", F.coalesce("df", F.lit(0))).alias("gram"))
+    candidates = rarest.join(index, "gram").select("group_name", "name")
+    hit = F.col("name").contains(F.upper("group_name")) if literal else F.expr("name rlike upper(group_name)")
+    matched = candidates.where(hit)
+    rows = projects.select(F.upper(col("CUST_NAME")).alias("name"), account_text(col("CUST_ID")).alias("account_id"), col("row_idx")).where("account_id is not null")
+    return matched.join(rows, "name").groupBy("group_name", "account_id").agg(F.min("row_idx").alias("first_idx"))
+
+
 def explicit_accounts(configs: DataFrame, by_group: DataFrame, by_name: DataFrame) -> DataFrame:
     """Accounts of each report: its own list, else those of its group, else those found by name.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shipreport.functions.text import col
 from shipreport.operators import runstate
-from shipreport.operators.lookups import group_accounts
+from shipreport.operators.lookups import accounts_by_pattern, explicit_accounts, group_accounts
 from shipreport.plans.periods import period_window
 from shipreport.plans.registry import Context
 from shipreport.plans.report import ReportConfig, build_report, expand_combined, touched_columns, write_report
@@ -74,13 +74,12 @@ def daily_run(spark: SparkSession, criteria: list[dict], root: str, out: str, sn
     configs = open_configs(spark, criteria, inputs.ledger, ctx)
     plain = [c for c in configs if not (c.parquet_name_contains or c.parquet_path_contains)]
     bases = shared_bases(spark, root, plain, inputs, ctx)
-    groups = group_accounts(ctx.ref("project_reference")) if any(not c.id_account for c in configs) else None
+    resolved = named_accounts(spark, [c for c in configs if not c.id_account], ctx)
     manifest, counts = [], []
     for number, config in enumerate(configs):
         window = period_window(config.period, config.jumlah_bulan, ctx.as_of)
         source = bases[config.category] if config in plain else scan_period(spark, root, *window, category=config.category)
-        names = [config.group_name] if isinstance(config.group_name, str) else list(config.group_name or [])
-        accounts = None if config.id_account else groups.where(col("group_name").isin([n.strip().upper() for n in names]))
+        accounts = None if config.id_account else resolved.where(col("group_name").isin(_names(config))).select("account_id").distinct()
         rows = stored(build_report(
             source, config, ctx, accounts=accounts, patch=inputs.patches.get(config.name), listing=inputs.listings.get(config.name),
             receiver_words=inputs.receiver_words, normalised_ids=True), "report")
@@ -99,6 +98,25 @@ def daily_run(spark: SparkSession, criteria: list[dict], root: str, out: str, sn
                      runstate.outputs_per_contact(done, changes))
 
 
+def _names(config: ReportConfig) -> list[str]:
+    given = [config.group_name] if isinstance(config.group_name, str) else list(config.group_name or [])
+    return [n.strip().upper() for n in given if n is not None]
+
+
+def named_accounts(spark: SparkSession, configs: list[ReportConfig], ctx: Context) -> DataFrame | None:
+    """(group_name, account_id, source) for the names of configs without their own accounts.
+
+    A name takes the accounts of its group; a name that is no group is matched against the
+    customer names through the gram index, all inside Spark.
+    """
+    if not configs:
+        return None
+    projects = ctx.ref("project_reference")
+    wanted = spark.createDataFrame(sorted({(n,) for c in configs for n in _names(c)}), "group_name string").withColumn("account_id", F.lit(None).cast("string"))
+    groups = group_accounts(projects)
+    return explicit_accounts(wanted, groups, accounts_by_pattern(projects, wanted.join(groups, "group_name", "left_anti")))
+
+
 def _contacts(config: ReportConfig) -> list[str]:
     given = config.contact or []
     return [str(given)] if isinstance(given, str) else [str(c) for c in given]

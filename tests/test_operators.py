@@ -263,3 +263,17 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     path = fresh_path(spark, "x")
     assert folder is None or path.startswith(folder.rstrip("/"))
     assert path != fresh_path(spark, "x")
+
+
+def test_accounts_by_pattern_equals_full_regex_and_has_no_product(spark):
+    from shipreport.operators import lookups
+
+    names = ["Acme Tools", "ACME tools jaya", "Bumi Raya", " ", None, "Toko A.B", "PT Sinar#12", "sinar#99"]
+    projects = spark.createDataFrame([(i, f"'{100 + i}", n) for i, n in enumerate(names)] + [(50, None, "Acme"), (51, "'151", "Acme Tools")],
+                                     "row_idx long, CUST_ID string, CUST_NAME string")
+    patterns = ["acme", "^ACME TOOLS$", "A\\.B", "SINAR#\\d+", "(BUMI|TOKO)", "x{0,2}raya", ".*", "^$", "nothing", None]
+    got = lookups.accounts_by_pattern(projects, spark.createDataFrame([(p,) for p in patterns], "group_name string"))
+    want = lookups.accounts_by_name(projects, [p for p in patterns if p is not None])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
