@@ -1,7 +1,7 @@
 """Ranked lexical search: every benchmark item against all documents, top documents by an integer BM25-like score.
 
-Method (presence-mask grouping): a document's matched terms of an item form a bitmap (Spark's
-bitmap functions, 32,768 terms a bucket). Documents are grouped by (item, mask); each group knows
+Method (presence-mask grouping): a document's matched terms of an item form a bitmap (OR of
+bits, 64 terms a word, so a mask costs a few longs). Documents are grouped by (item, mask); each group knows
 its least and greatest score. Masks ordered by their least score give a proven lower bound of an
 item's 50th score as soon as they hold 50 documents; only masks whose greatest score reaches that
 bound are evaluated, and only their documents at or above it go on to the final top-k. The top-k
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, query
+from .common import documents, query, stored
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -56,20 +56,24 @@ def search(docs: DataFrame, items: DataFrame, top: int = 50, id_col: str = "doc_
     if big_l == 0:
         return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long, n_matched long")
     m = F.lit(50) + F.expr(f"(50 * n * {big_n}L) div {big_l}L")
-    postings = (rows.select("u", "doc", "n", F.explode("ts").alias("term")).join(maybe_broadcast(vocabulary, small), "term", "left_semi")
-                .groupBy("u", "doc", "n", "term").agg(F.count("*").alias("tf")))
-    weights = postings.groupBy("term").agg(F.count("*").alias("df")).select(
+    # df from each row's distinct terms, summed inside tasks before the shuffle by term.
+    held = rows.select(F.explode(F.array_distinct("ts")).alias("term")).join(maybe_broadcast(vocabulary, small), "term", "left_semi")
+    weights = held.groupBy("term").agg(F.count("*").alias("df")).select(
         "term", F.floor(1000 * F.log((2.0 * big_n + 2) / (2 * F.col("df") + 1))).cast("long").alias("w"))
+    # Postings are partitioned by row, so an item's matches of a document are summed in the task
+    # that holds them and only one (item, document) row a match moves on.
+    postings = (rows.select("u", "doc", "n", F.explode("ts").alias("term")).join(maybe_broadcast(vocabulary, small), "term", "left_semi")
+                .repartition("u").groupBy("u", "doc", "n", "term").agg(F.count("*").alias("tf")))
     part = F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 20L * m)")
     scored = (postings.withColumn("m", m).join(maybe_broadcast(weights, small), "term").join(maybe_broadcast(item_terms, small), "term")
               .select("item", "u", "doc", "bit", part.alias("part")))
-    # One shuffle by (item, document) serves both aggregations below.
-    per_bucket = scored.repartition("item", "u").groupBy("item", "u", "doc", F.expr("bitmap_bucket_number(bit)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"), F.sum("part").alias("s"), F.count("*").alias("k"))
+    word = F.floor((F.col("bit") - 1) / 64).cast("int")
+    per_bucket = scored.groupBy("item", "u", "doc", word.alias("bucket")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit - 1, 64) as int))")).alias("bits"), F.sum("part").alias("s"), F.count("*").alias("k"))
     per_doc = per_bucket.groupBy("item", "u", "doc").agg(F.array_sort(F.collect_list(F.struct("bucket", "bits"))).alias("mask"), F.sum("s").alias("score"), F.sum("k").alias("n_matched"))
-    per_doc = per_doc.where("score > 0")
-    bound = lower_bounds(per_doc, top)
-    evaluated = per_doc.join(bound, "item", "left").where(F.col("floor").isNull() | (F.col("score") >= F.col("floor")))
+    per_doc = stored(per_doc.where("score > 0"), "search-scores")
+    bound = lower_bounds(per_doc, top)  # one row an item
+    evaluated = per_doc.join(maybe_broadcast(bound, small), "item", "left").where(F.col("floor").isNull() | (F.col("score") >= F.col("floor")))
     return top_k(evaluated, top)
 
 
