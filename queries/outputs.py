@@ -13,7 +13,7 @@ from shipreport.operators import runstate
 from shipreport.operators.lookups import group_accounts
 from shipreport.operators.pivots import Measure, Pivot, pivot_long
 from shipreport.plans.registry import Context
-from shipreport.plans.report import ReportConfig, build_report, combine, expand_combined, write_report
+from shipreport.plans.report import ReportConfig, build_report, build_reports_together, combine, expand_combined, write_report
 from shipreport.plans.workbook import workbook
 from shipreport.schema import typed
 from shipreport.session import fresh_path
@@ -438,7 +438,12 @@ SELECT 'SATU' AS report, AWB, TGL_ENTRY, REGIONAL, '' AS INSURANCE_ID, '1998' AS
 UNION ALL SELECT 'DUA', AWB, NULL, NULL, '', NULL, CASE WHEN trim(CODING) = 'C01' THEN 'Claim Missing'
   WHEN trim(CODING) = 'C02' THEN 'Claim Damage' ELSE coalesce(STATUS_POD_UPDATE, '') END, CODING FROM m""")
 def combined_report(spark, sf):
-    return combine({c["group_name"]: _report(spark, sf, c) for c in expand_combined([_COMBINED])})
+    """All children of a combined report from one scan of the master and one newest-row window."""
+    ctx = Context(AS_OF, {"project_reference": projects(spark, sf)}, CALENDAR)
+    configs = [ReportConfig.from_dict(c) for c in expand_combined([_COMBINED])]
+    patch = patch_table(spark, sf)
+    return combine(build_reports_together(shipments(spark, sf, *_REPORT_COLUMNS), configs, ctx, patches={c.name: patch for c in configs},
+                                          tie_break=[col("ROW_KEY").desc()]))
 
 
 _MONTHLY = [*_STATUS_COLUMNS, "AWB", "TGL_TARIK_REPORT", "BIG_GROUPING_CUST", "AMOUNT", "SERVICE"]

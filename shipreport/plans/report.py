@@ -8,8 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shipreport.functions.predicates import all_of, tree
-from shipreport.functions.text import col
+from shipreport.functions.predicates import account_in, all_of, date_window, status_in, stored_account_in, tree
+from shipreport.functions.text import account_id, account_key, col
 from shipreport.operators.dedup import latest_per_key
 from shipreport.operators.listjoin import back_fill_key, join_customer_list
 from shipreport.operators.numbering import number_rows
@@ -19,6 +19,7 @@ from shipreport.operators.receivers import clean_receivers
 from shipreport.plans.periods import period_window, splits_by_month
 from shipreport.plans.registry import Context, columns_read, derive_columns
 from shipreport.sinks.outputs import clean_output, split_labels, write_split
+from shipreport.session import stored
 from shipreport.sources.shipments import file_filter, select_shipments
 
 
@@ -116,6 +117,20 @@ def build_report(
         tie_break = [F.xxhash64(*map(col, df.columns))]
     version = "TGL_TARIK_REPORT" if "TGL_TARIK_REPORT" in df.columns else "TGL_ENTRY"
     df = latest_per_key(df, "AWB", version, tie_break=tie_break)
+    return finish_report(df, config, ctx, patch=patch, listing=listing, receiver_words=receiver_words, sort_order=sort_order)
+
+
+def finish_report(
+    df: DataFrame,
+    config: ReportConfig,
+    ctx: Context,
+    *,
+    patch: DataFrame | None = None,
+    listing: DataFrame | None = None,
+    receiver_words: list[str] = (),
+    sort_order: Callable[[DataFrame], list[Column]] | None = None,
+) -> DataFrame:
+    """A report from its newest rows: receivers, corrections, customer list, derivations, filters, labels, numbers."""
     if config.clean_receiver and "RECEIVED/REASON" in df.columns:
         df = clean_receivers(df, list(receiver_words))
     patched = patch is not None and config.edit_file.get("replace_values")
@@ -156,6 +171,65 @@ def build_report(
         order=config.cust_ref.get("col_order"), carry=list(labels))
 
 
+def build_reports_together(
+    shipments: DataFrame,
+    configs: list[ReportConfig],
+    ctx: Context,
+    *,
+    accounts: dict[str, DataFrame] | None = None,
+    patches: dict[str, DataFrame] | None = None,
+    listings: dict[str, DataFrame] | None = None,
+    receiver_words: list[str] = (),
+    normalised_ids: bool = False,
+    tie_break: list[Column] | None = None,
+) -> dict[str, DataFrame]:
+    """The rows of several reports (children of a combined report) from one scan of the master.
+
+    Every master row is tagged with the reports whose date window, accounts and statuses it
+    meets, as an array, and exploded once; one window over (report, AWB) keeps each report's
+    newest rows, told apart by the same hash of its own columns as ``build_report`` uses. The
+    tagged rows are stored once; each report then finishes from its own slice of them, so the
+    result equals the reports built one by one. Account tables become one row per account
+    holding the reports that list it, joined once. Configs with a file filter need the file
+    names and are built by ``build_report``. A given ``tie_break`` orders equally new rows of
+    every report, which then read all columns, as in ``build_report``.
+    """
+    accounts, patches, listings = accounts or {}, patches or {}, listings or {}
+    alone = [c for c in configs if c.parquet_name_contains or c.parquet_path_contains]
+    together = [c for c in configs if c not in alone]
+    out = {c.name: build_report(shipments, c, ctx, accounts=accounts.get(c.name), patch=patches.get(c.name), listing=listings.get(c.name),
+                                receiver_words=receiver_words, normalised_ids=normalised_ids, tie_break=tie_break) for c in alone}
+    if not together:
+        return out
+    touched = [shipments.columns if tie_break is not None else touched_columns(shipments, c, patches.get(c.name)) for c in together]
+    df = shipments.select(*[col(c) for c in shipments.columns if any(c in t for t in touched)])
+    tables = [(i, accounts[c.name]) for i, c in enumerate(together) if not c.id_account and c.name in accounts]
+    if tables:
+        listed = reduce(DataFrame.unionByName, [a.select(F.lit(i).alias("_report"), account_key(col("account_id")).alias("_key")) for i, a in tables])
+        holders = listed.distinct().groupBy("_key").agg(F.collect_set("_report").alias("_listed"))  # one row an account
+        df = df.join(holders, account_id(col("ID_ACCOUNT")) == F.col("_key"), "left").drop("_key")
+    tags = []
+    for i, c in enumerate(together):
+        start, end = period_window(c.period, c.jumlah_bulan, ctx.as_of)
+        meets = date_window(df, "TGL_ENTRY", start, end)
+        if c.id_account:
+            meets = meets & (stored_account_in if normalised_ids else account_in)(col("ID_ACCOUNT"), c.id_account)
+        elif c.name in accounts:
+            meets = meets & F.coalesce(F.array_contains(F.col("_listed"), i), F.lit(False))
+        if c.selected_statuses:
+            meets = meets & status_in(col("STATUS_POD"), c.selected_statuses)
+        tags.append(F.when(meets, F.lit(i)))
+    tagged = df.withColumn("_report", F.explode(F.array_compact(F.array(*tags))))
+    ties = tie_break or [F.coalesce(*[F.when(F.col("_report") == i, F.xxhash64(*[col(c) for c in t])) for i, t in enumerate(touched)])]
+    version = "TGL_TARIK_REPORT" if "TGL_TARIK_REPORT" in df.columns else "TGL_ENTRY"
+    tagged = tagged.withColumn("_key", F.struct(F.col("_report"), col("AWB")))
+    newest = stored(latest_per_key(tagged, "_key", version, tie_break=ties).drop("_key", "_listed"), "together")
+    for i, c in enumerate(together):
+        mine = newest.where(F.col("_report") == i).select(*[col(x) for x in touched[i]])
+        out[c.name] = finish_report(mine, c, ctx, patch=patches.get(c.name), listing=listings.get(c.name), receiver_words=receiver_words)
+    return out
+
+
 def _texts(value) -> set[str]:
     """Every text inside a config value, as column names are compared."""
     if isinstance(value, dict):

@@ -99,3 +99,25 @@ def test_written_files_are_in_order(spark, tmp_path):
     for part in (tmp_path / "o").rglob("*.parquet"):
         dates = [r.TGL_ENTRY for r in spark.read.parquet(str(part)).collect()]
         assert dates == sorted(dates)
+
+
+def test_combined_children_from_one_scan(spark, tmp_path):
+    from shipreport.plans.report import build_reports_together
+
+    rows = [(f"A{i % 9}", ["12", " '13 ", "14"][i % 3], datetime(1998, 1 + i % 7, 1 + i % 20), datetime(1998, 7, 10 + i % 3),
+             ["Undel", "Success", None][i % 3], ["Regional Jawa Barat", "Bali", None][i % 2]) for i in range(60)]
+    rows += [rows[0], rows[1]]  # repeated rows tie on every column
+    spark.createDataFrame(rows, "AWB string, ID_ACCOUNT string, TGL_ENTRY timestamp, TGL_TARIK_REPORT timestamp, STATUS_POD string, REGIONAL string").write.parquet(str(tmp_path / "m"))
+    source = spark.read.parquet(str(tmp_path / "m"))
+    table = spark.createDataFrame([("13",), ("14",)], "account_id string")
+    configs = [config(), config(group_name="H", id_account=[], period="last_n_months", jumlah_bulan=2),
+               config(group_name="K", id_account=[], selected_statuses=["Undel"], filters=["REGIONAL", "contains", "jawa"]),
+               config(group_name="L", id_account=["'14", "12"], selected_cols=["AWB", "TGL_ENTRY"])]
+    accounts = {"H": table, "K": table}
+    together = build_reports_together(source, configs, Context(DAY), accounts=accounts)
+    for c in configs:
+        alone = build_report(source, c, Context(DAY), accounts=accounts.get(c.name))
+        assert sorted(map(tuple, together[c.name].collect())) == sorted(map(tuple, alone.collect())), c.name
+    # the master was read by the one job that stored the tagged rows; no report reads it again
+    for c in configs:
+        assert str(tmp_path / "m") not in together[c.name]._jdf.queryExecution().executedPlan().toString()
