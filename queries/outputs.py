@@ -517,4 +517,4 @@ def daily_run(spark, sf):
     ledger = spark.createDataFrame([("SUDAH", AS_OF.isoformat()), ("LAMA", "1998-07-10")], "key string, processed string")
     done = run(spark, _DAILY, root, fresh_path(spark, "outputs"), fresh_path(spark, "snapshots"),
                Context(AS_OF, {"project_reference": projects(spark, sf)}, CALENDAR), RunInputs(ledger))
-    return done.manifest.join(done.ledger, F.col("report") == F.col("key")).select("report", "n_rows", "processed")
+    return done.manifest.join(done.ledger, "key").select("report", "n_rows", "processed")

@@ -40,12 +40,28 @@ class RunResult:
     contacts: DataFrame
 
 
-def open_configs(spark: SparkSession, criteria: list[dict], ledger: DataFrame, ctx: Context) -> list[ReportConfig]:
-    """The configs, combined ones expanded, that the ledger does not date today; a few per run."""
-    configs = {c.name: c for c in map(ReportConfig.from_dict, expand_combined(criteria))}
-    work = spark.createDataFrame([(name,) for name in configs], "key string")
-    still = {r.key for r in runstate.not_yet_processed(work, ledger, ctx.as_of).collect()}
-    return [c for name, c in configs.items() if name in still]
+def config_keys(configs: list[ReportConfig]) -> list[str]:
+    """The ledger key of each config: its name, after the workbook it goes to; equal keys numbered from the second on."""
+    seen: dict[str, int] = {}
+    keys = []
+    for c in configs:
+        base = f"{c.move_to_sheet_of_file}/{c.name}" if c.move_to_sheet_of_file else c.name
+        seen[base] = seen.get(base, 0) + 1
+        keys.append(base if seen[base] == 1 else f"{base} #{seen[base]}")
+    return keys
+
+
+def open_configs(spark: SparkSession, criteria: list[dict], ledger: DataFrame, ctx: Context) -> list[tuple[str, ReportConfig]]:
+    """(key, config) of the configs, combined ones expanded, that the ledger does not date today; a few per run.
+
+    Configs of one name stay apart: the key holds the workbook a config goes to and a number
+    where even that is equal.
+    """
+    configs = list(map(ReportConfig.from_dict, expand_combined(criteria)))
+    keyed = list(zip(config_keys(configs), configs))
+    work = spark.createDataFrame([(key,) for key, _ in keyed], "key string")
+    still = {r.key for r in runstate.not_yet_processed(work, ledger, ctx.as_of).collect()}  # one row a config
+    return [(key, c) for key, c in keyed if key in still]
 
 
 def shared_bases(spark: SparkSession, root: str, configs: list[ReportConfig], inputs: RunInputs, ctx: Context) -> dict[str | None, DataFrame]:
@@ -71,12 +87,13 @@ def daily_run(spark: SparkSession, criteria: list[dict], root: str, out: str, sn
     report, ``snapshots`` the status counts. A config without accounts takes those of
     its group from the project table. A run that is repeated writes the same outputs.
     """
-    configs = open_configs(spark, criteria, inputs.ledger, ctx)
+    keyed = open_configs(spark, criteria, inputs.ledger, ctx)
+    configs = [c for _, c in keyed]
     plain = [c for c in configs if not (c.parquet_name_contains or c.parquet_path_contains)]
     bases = shared_bases(spark, root, plain, inputs, ctx)
     resolved = named_accounts(spark, [c for c in configs if not c.id_account], ctx)
     manifest, counts = [], []
-    for number, config in enumerate(configs):
+    for number, (key, config) in enumerate(keyed):
         window = period_window(config.period, config.jumlah_bulan, ctx.as_of)
         source = bases[config.category] if config in plain else scan_period(spark, root, *window, category=config.category)
         accounts = None if config.id_account else resolved.where(col("group_name").isin(_names(config))).select("account_id").distinct()
@@ -84,17 +101,18 @@ def daily_run(spark: SparkSession, criteria: list[dict], root: str, out: str, sn
             source, config, ctx, accounts=accounts, patch=inputs.patches.get(config.name), listing=inputs.listings.get(config.name),
             receiver_words=inputs.receiver_words, normalised_ids=True), "report")
         write_report(rows, config, f"{out}/{number:04d}")
-        manifest.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(config.name).alias("report"), F.lit(f"{out}/{number:04d}").alias("path"), "n_rows"))
+        manifest.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(config.name).alias("report"), F.lit(key).alias("key"), F.lit(f"{out}/{number:04d}").alias("path"), "n_rows"))
         if "STATUS_POD" in rows.columns:
             append_snapshot(rows, snapshots, config.name, ctx.as_of)
             counts.append(runstate.status_counts(rows, config.name))
     none = spark.createDataFrame([], "report string, status string, n long")
     today = reduce(DataFrame.unionByName, counts, none)
-    done = spark.createDataFrame([(c.name, _contacts(c)) for c in configs], "report string, contacts array<string>")
+    done = spark.createDataFrame([(c.name, key, _contacts(c)) for key, c in keyed], "report string, key string, contacts array<string>")
     changes = runstate.report_changes(done, today, inputs.last_counts if inputs.last_counts is not None else none, ctx.as_of)
-    empty = spark.createDataFrame([], "report string, path string, n_rows long")
+    empty = spark.createDataFrame([], "report string, key string, path string, n_rows long")
     return RunResult(reduce(DataFrame.unionByName, manifest, empty), today, changes,
-                     runstate.retained(runstate.marked_processed(inputs.ledger, done.select(F.col("report").alias("key")), ctx.as_of), ctx.as_of),
+                     runstate.retained(runstate.marked_processed(inputs.ledger, done.select("key"), ctx.as_of), ctx.as_of),
                      runstate.outputs_per_contact(done, changes))
 
 

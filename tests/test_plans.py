@@ -121,3 +121,15 @@ def test_combined_children_from_one_scan(spark, tmp_path):
     # the master was read by the one job that stored the tagged rows; no report reads it again
     for c in configs:
         assert str(tmp_path / "m") not in together[c.name]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_of_one_name_stay_apart(spark):
+    from shipreport.plans.daily import open_configs
+
+    criteria = [{"group_name": "BIG", "period": "year"}, {"group_name": "BIG", "period": "last_n_months", "jumlah_bulan": 2},
+                {"groups_name": "BOOK1", "reports": [{"group_name": "BIG"}]}, {"groups_name": "BOOK2", "reports": [{"group_name": "BIG"}]},
+                {"group_name": "DONE"}]
+    ledger = spark.createDataFrame([("DONE", DAY.isoformat()), ("BIG #2", "1998-07-01")], "key string, processed string")
+    keyed = open_configs(spark, criteria, ledger, Context(DAY))
+    assert [k for k, _ in keyed] == ["BIG", "BIG #2", "BOOK1/BIG", "BOOK2/BIG"]
+    assert [c.period for _, c in keyed][:2] == ["year", "last_n_months"]
