@@ -44,7 +44,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = 50, id_col: str = "doc_
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), terms(F.col(text_col)).alias("ts")).withColumn("u", F.monotonically_increasing_id())
-    rows = rows.select("u", "doc", "ts", F.size("ts").cast("long").alias("n"))
+    # The terms are taken once: the counts, df and postings below read this table.
+    rows = stored(rows.select("u", "doc", "ts", F.size("ts").cast("long").alias("n")), "search-terms")
     totals = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("L")).first()
     big_n, big_l = int(totals["N"]), int(totals["L"])
     # An item's distinct terms, numbered from 1 in code-point order.
@@ -67,16 +68,35 @@ def search(docs: DataFrame, items: DataFrame, top: int = 50, id_col: str = "doc_
     part = F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 20L * m)")
     scored = (postings.withColumn("m", m).join(maybe_broadcast(weights, small), "term").join(maybe_broadcast(item_terms, small), "term")
               .select("item", "u", "doc", "bit", part.alias("part")))
-    word = F.floor((F.col("bit") - 1) / 64).cast("int")
-    per_bucket = scored.groupBy("item", "u", "doc", word.alias("bucket")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(pmod(bit - 1, 64) as int))")).alias("bits"), F.sum("part").alias("s"), F.count("*").alias("k"))
-    per_doc = per_bucket.groupBy("item", "u", "doc").agg(F.array_sort(F.collect_list(F.struct("bucket", "bits"))).alias("mask"), F.sum("s").alias("score"), F.sum("k").alias("n_matched"))
+    per_doc = masks_and_scores(scored, item_terms.agg(F.max("bit")).first()[0] or 1)
     per_doc = stored(per_doc.where("score > 0"), "search-scores")
     bound = lower_bounds(per_doc, top)  # one row an item
     evaluated = per_doc.join(maybe_broadcast(bound, small), "item", "left").where(F.col("floor").isNull() | (F.col("score") >= F.col("floor")))
     return top_k(evaluated, top)
 
 
+#: Mask words up to which a mask is built by one aggregation, a bit_or a word.
+FLAT_WORDS = 16
+
+
+def masks_and_scores(scored: DataFrame, most_bits: int) -> DataFrame:
+    """(item, u, doc, mask, score, n_matched): the bitmap of an item's terms a document holds, and its score.
+
+    Bit b of the item lies in word (b - 1) div 64. Masks of up to FLAT_WORDS words are built in one
+    aggregation; longer ones word by word, then gathered as a sorted list of (word, bits).
+    """
+    word = F.floor((F.col("bit") - 1) / 64).cast("int")
+    bit = F.expr("shiftleft(1L, cast(pmod(bit - 1, 64) as int))")
+    words = (most_bits + 63) // 64
+    if words <= FLAT_WORDS:
+        parts = [F.bit_or(F.when(word == w, bit).otherwise(F.lit(0).cast("long"))) for w in range(words)]
+        return scored.groupBy("item", "u", "doc").agg(F.array(*parts).alias("mask"), F.sum("part").alias("score"), F.count("*").alias("n_matched"))
+    per_word = scored.groupBy("item", "u", "doc", word.alias("bucket")).agg(F.bit_or(bit).alias("bits"), F.sum("part").alias("s"), F.count("*").alias("k"))
+    return per_word.groupBy("item", "u", "doc").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "bits"))).alias("mask"),
+        F.sum("s").alias("score"), F.sum("k").alias("n_matched"))
+
+
 def lower_bounds(per_doc: DataFrame, top: int) -> DataFrame:
     """(item, floor): a score at least `top` documents of the item reach, from the mask groups.
 
