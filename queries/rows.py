@@ -34,6 +34,20 @@ def latest_per_key(spark, sf):
     return dedup.latest_per_key(df, tie_break=_ties())
 
 
+@query("latest_bucketed", f"""
+WITH s AS ({view_sql("AWB", "TGL_TARIK_REPORT", "ROW_KEY", "STATUS_POD", "AMOUNT")})
+SELECT AWB, TGL_TARIK_REPORT, ROW_KEY, STATUS_POD, AMOUNT FROM s
+QUALIFY row_number() OVER (PARTITION BY AWB ORDER BY TGL_TARIK_REPORT DESC NULLS LAST, ROW_KEY DESC) = 1""")
+def latest_bucketed(spark, sf):
+    """The newest row of every waybill over the master stored bucketed by AWB: no shuffle before the window."""
+    import uuid
+
+    name = f"shipreport_master_{uuid.uuid4().hex}"
+    source.write_bucketed_shipments(shipments(spark, sf, "AWB", "TGL_TARIK_REPORT", "ROW_KEY", "STATUS_POD", "AMOUNT", "TGL_ENTRY", "ID_ACCOUNT", "CATEGORY"), name)
+    df = spark.table(name).select("AWB", "TGL_TARIK_REPORT", "ROW_KEY", "STATUS_POD", "AMOUNT")
+    return dedup.latest_per_key(df, tie_break=_ties())
+
+
 @query("latest_per_key_nulls_win", f"""
 WITH s AS ({view_sql("AWB", "TGL_TARIK_REPORT", "ROW_KEY")})
 SELECT AWB, TGL_TARIK_REPORT, ROW_KEY FROM s

@@ -39,6 +39,32 @@ def write_shipments(df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", categ
     df.hint("rebalance", YEAR, MONTH, CATEGORY).write.mode("overwrite").partitionBy(YEAR, MONTH, CATEGORY).parquet(root)
 
 
+def write_bucketed_shipments(df: DataFrame, table: str, *, buckets: int = 64, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
+    """Store the master as a table by year, month and category, bucketed by AWB and sorted by account inside a bucket.
+
+    The newest row of a waybill and joins on AWB then read each bucket in one task with no
+    shuffle. Sorted by account, a file's row groups hold narrow account ranges, so an account
+    filter skips row groups by their statistics. Ids are stored in one spelling, as
+    ``write_shipments`` does. Rows are dealt to write tasks by folder and bucket, so a large
+    folder is spread over its buckets.
+    """
+    if "ID_ACCOUNT" in df.columns:
+        df = df.withColumn("ID_ACCOUNT", F.concat(F.lit("'"), account_id(col("ID_ACCOUNT"))))
+    df = df.withColumns({YEAR: F.date_format(col(entry), "yyyy"), MONTH: F.date_format(col(entry), "MM"), CATEGORY: col(category)})
+    bucket = F.pmod(F.hash(col("AWB")), F.lit(buckets))
+    sort = [c for c in ("ID_ACCOUNT", "AWB") if c in df.columns]
+    (df.repartition(YEAR, MONTH, CATEGORY, bucket).write.mode("overwrite").partitionBy(YEAR, MONTH, CATEGORY)
+     .bucketBy(buckets, "AWB").sortBy(*sort).saveAsTable(table))
+
+
+def scan_table_period(spark: SparkSession, table: str, start: date, end: date, *, category: str | None = None) -> DataFrame:
+    """The folders of a stored master table a date window needs, its buckets kept."""
+    apply_settings(spark)
+    keys = [f"{y:04d}{m:02d}" for y, m in months_between(start, end)]
+    df = spark.table(table).where(F.concat(F.col(YEAR), F.col(MONTH)).isin(keys))
+    return df.where(F.col(CATEGORY) == category) if category is not None else df
+
+
 def _needles(value) -> list[str]:
     values = value if isinstance(value, (list, tuple, set)) else [value]
     return [str(v).lower() for v in values if str(v).strip()]

@@ -133,3 +133,20 @@ def test_reports_of_one_name_stay_apart(spark):
     keyed = open_configs(spark, criteria, ledger, Context(DAY))
     assert [k for k, _ in keyed] == ["BIG", "BIG #2", "BOOK1/BIG", "BOOK2/BIG"]
     assert [c.period for _, c in keyed][:2] == ["year", "last_n_months"]
+
+
+def test_newest_rows_over_the_bucketed_master_need_no_shuffle(spark):
+    import uuid
+
+    from shipreport.operators.dedup import latest_per_key
+    from shipreport.sources.shipments import write_bucketed_shipments
+
+    name = f"master_{uuid.uuid4().hex}"
+    rows = master(spark).withColumn("CATEGORY", F.lit("RETAIL")).unionByName(master(spark).withColumn("CATEGORY", F.lit("BANK")))
+    write_bucketed_shipments(rows, name, buckets=4)
+    newest = latest_per_key(spark.table(name), "AWB", "TGL_TARIK_REPORT", tie_break=[F.col("CATEGORY")])
+    assert "Exchange" not in newest._jdf.queryExecution().executedPlan().toString()
+    assert newest.count() == 6
+    wanted = spark.table(name).where(F.col("ID_ACCOUNT") == "'12")
+    assert "PushedFilters: [IsNotNull(ID_ACCOUNT), EqualTo(ID_ACCOUNT,'12)]" in wanted._jdf.queryExecution().executedPlan().toString()
+    assert wanted.count() == 12
