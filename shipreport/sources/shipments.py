@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shipreport.functions.moments import MONTHS
 from shipreport.functions.predicates import account_in, date_window, status_in, stored_account_in
-from shipreport.functions.text import account_id, account_key, col
+from shipreport.functions.text import account_id, account_key, col, upper_header
 from shipreport.operators.projection import normalise_headers, present_columns
 from shipreport.session import apply_settings
 
@@ -182,26 +182,39 @@ def read_month_csv(spark: SparkSession, paths: list[str], keep: list[str] | None
 
 
 def read_by_header(spark: SparkSession, paths: list[str], source: str | None = None) -> DataFrame:
-    """CSV files of any headers laid under each other by upper-cased column name.
-
-    Each file is read by its own first line: files with one header are one scan, so
-    the plan grows with the number of different headers and not with the files.
-    First lines are found by a job that reads the first block of each file. ``source``
-    names a column for the path of a row's file.
+    """CSV files of any headers laid under each other by upper-cased column name, in one scan of rows.
+
+    The rows of all files are one text scan with their paths, whatever the number of header
+    layouts. A file's header is its first line (found by a pass that keeps the first split's
+    lines of each file); it is joined back to the file's lines by path, and each line is parsed
+    by ``from_csv`` with the fields of its own header. Only the distinct header texts reach the
+    driver, never a list of files. Columns come in the order of the sorted headers, absent ones null, every cell a
+    text; blank lines are skipped, as the CSV reader does. ``source`` names a column for the
+    path of a row's file.
     """
-    lines = spark.read.text(paths).select("value", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    first = lines.where("at = 0").withColumn("place", F.monotonically_increasing_id())
-    headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    whole = None
-    for row in headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
-        read = spark.read.csv(row.files, header=True, inferSchema=False)
-        frame = normalise_headers(read)
-        if source:
-            frame = read.select("*", F.col("_metadata.file_path").alias(source)).toDF(*frame.columns, source)
-        whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
-    if whole is None:
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_place"))
+    firsts = lines.where("_at = 0").groupBy("_file").agg(F.min_by("value", "_place").alias("_header"), F.min("_place").alias("_first"))
+    headers = sorted(r["_header"] for r in firsts.select("_header").distinct().collect())  # one row a header layout
+    if not headers:
         raise ValueError("no file with a header line")
-    return whole
+    layouts = [header_names(h) for h in headers]
+    body = lines.join(firsts, "_file").where(~((F.col("_at") == 0) & (F.col("_place") == F.col("_first")))).where(F.trim("value") != "")
+    parsed = body.select("_file", *[F.when(F.col("_header") == F.lit(h), F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(len(names))))).alias(f"_p{k}")
+                                    for k, (h, names) in enumerate(zip(headers, layouts))])
+    columns = list(dict.fromkeys(n for names in layouts for n in names))
+    cells = [F.coalesce(*[F.col(f"_p{k}.c{names.index(c)}") for k, names in enumerate(layouts) if c in names]).alias(c) for c in columns]
+    return parsed.select(*cells, *([F.col("_file").alias(source)] if source else []))
+
+
+def header_names(line: str) -> list[str]:
+    """Upper-cased column names of a CSV header line; blanks named _C<i>, repeats given their position, as the CSV reader does."""
+    import csv
+
+    fields = next(csv.reader([line]), [])
+    names = [upper_header(f) if f.strip() else f"_C{i}" for i, f in enumerate(fields)]
+    twice = {n for n in names if names.count(n) > 1}
+    return [f"{n}{i}" if n in twice else n for i, n in enumerate(names)]
 
 
 def month_extract_paths(root: str, start_name: str, category: str, as_of: date) -> list[str]:

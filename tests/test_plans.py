@@ -150,3 +150,24 @@ def test_newest_rows_over_the_bucketed_master_need_no_shuffle(spark):
     wanted = spark.table(name).where(F.col("ID_ACCOUNT") == "'12")
     assert "PushedFilters: [IsNotNull(ID_ACCOUNT), EqualTo(ID_ACCOUNT,'12)]" in wanted._jdf.queryExecution().executedPlan().toString()
     assert wanted.count() == 12
+
+
+def test_files_of_many_headers_in_one_scan(spark, tmp_path):
+    from shipreport.operators.projection import normalise_headers
+    from shipreport.sources.shipments import read_by_header
+
+    heads = ["AWB,Status,amount", "awb, STATUS ,Extra", "awb,,awb"]
+    for k in range(12):
+        head = heads[k % 3]
+        body = "\n".join(f"a{k}{i},s{i},{i if i % 2 else ''}" for i in range(5))
+        (tmp_path / f"f{k:02d}.csv").write_text(f"{head}\n{body}\n\n")
+    got = read_by_header(spark, [str(tmp_path / "*.csv")], source="_src")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2 and "FileScan csv" not in plan  # first lines, then all rows: not one scan a header
+    want = None
+    for head in sorted(heads):
+        files = [str(tmp_path / f"f{k:02d}.csv") for k in range(12) if heads[k % 3] == head]
+        read = normalise_headers(spark.read.csv(files, header=True))
+        want = read if want is None else want.unionByName(read, allowMissingColumns=True)
+    assert got.columns[:-1] == want.columns
+    assert sorted(map(tuple, got.drop("_src").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
