@@ -42,11 +42,15 @@ def feature_buckets(w: Column) -> Column:
     def bucket(feature: Column) -> Column:
         return F.pmod(F.crc32(feature.cast("binary")), F.lit(BUCKETS)).cast("int")
 
-    def run(k: int) -> Column:
-        starts = F.slice(w, 1, F.greatest(n - (k - 1), F.lit(0)))
-        return F.transform(starts, lambda _, i: bucket(F.array_join(F.slice(w, i + 1, k), " ")))
-
-    return F.concat(run(1), run(2), run(3))
+    def shifted(k: int, length: Column) -> Column:
+        return F.slice(w, k, length)
+
+    # Runs of two and three words by zipping the word array with itself shifted, no array a position.
+    two = F.greatest(n - 1, F.lit(0))
+    pairs = F.zip_with(shifted(1, two), shifted(2, two), lambda a, b: F.concat(a, F.lit(" "), b))
+    three = F.greatest(n - 2, F.lit(0))
+    triples = F.zip_with(F.slice(pairs, 1, three), shifted(3, three), lambda ab, c: F.concat(ab, F.lit(" "), c))
+    return F.concat(F.transform(w, bucket), F.transform(pairs, bucket), F.transform(triples, bucket))
 
 
 def planes(values: np.ndarray) -> np.ndarray:
