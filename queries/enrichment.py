@@ -185,7 +185,7 @@ def accounts_of_reports(spark, sf):
     accounts = projects(spark, sf)
     wanted, groups = configs.unionByName(brand), lookups.group_accounts(accounts)
     # names of configs without accounts or a group of their name, looked up in the name index
-    unmatched = wanted.where("account_id is null").select("group_name").distinct().join(groups, "group_name", "left_anti")
+    unmatched = lookups.without_group(wanted.where("account_id is null").select("group_name").distinct(), groups)
     return lookups.explicit_accounts(wanted, groups, lookups.accounts_by_pattern(accounts, unmatched))
 
 

@@ -297,12 +297,18 @@ def accounts_by_pattern(projects: DataFrame, patterns: DataFrame, *, literal: bo
     runs = wanted.select("group_name", F.explode_outer(required_runs(F.col("group_name"), literal)).alias("run"))
     needed = runs.select("group_name", F.explode(F.when(F.col("run").isNull(), F.array(F.lit(""))).otherwise(grams(F.col("run"), GRAM))).alias("gram")).distinct()
     rarity = index.groupBy("gram").agg(F.count("*").alias("df"))
-    rarest = needed.join(rarity, "gram", "left").groupBy("group_name").agg(F.min_by("gram", F.coalesce("df", F.lit(0))).alias("gram"))
-    candidates = rarest.join(index, "gram").select("group_name", "name")
+    rarest = needed.join(rarity.hint("merge"), "gram", "left").groupBy("group_name").agg(F.min_by("gram", F.coalesce("df", F.lit(0))).alias("gram"))
+    # size estimates don't know that an index has many grams a name: unhinted, Spark may broadcast it
+    candidates = rarest.join(index.hint("merge"), "gram").select("group_name", "name")
     hit = F.col("name").contains(F.upper("group_name")) if literal else F.expr("name rlike upper(group_name)")
     matched = candidates.where(hit)
     rows = projects.select(F.upper(col("CUST_NAME")).alias("name"), account_text(col("CUST_ID")).alias("account_id"), col("row_idx")).where("account_id is not null")
-    return matched.join(rows, "name").groupBy("group_name", "account_id").agg(F.min("row_idx").alias("first_idx"))
+    return matched.join(rows.hint("merge"), "name").groupBy("group_name", "account_id").agg(F.min("row_idx").alias("first_idx"))
+
+
+def without_group(names: DataFrame, by_group: DataFrame) -> DataFrame:
+    """The names that are no group's. Account tables compress well, so their file size would have them broadcast."""
+    return names.join(by_group.select("group_name").distinct().hint("merge"), "group_name", "left_anti")
 
 
 def explicit_accounts(configs: DataFrame, by_group: DataFrame, by_name: DataFrame) -> DataFrame:
@@ -312,7 +318,6 @@ def explicit_accounts(configs: DataFrame, by_group: DataFrame, by_name: DataFram
     """
     own = configs.where("account_id is not null").select("group_name", "account_id", F.lit("explicit").alias("source"))
     open_groups = configs.where("account_id is null").select("group_name").distinct()
-    grouped = open_groups.join(by_group, "group_name").select("group_name", "account_id", F.lit("group").alias("source"))
-    unmatched = open_groups.join(by_group, "group_name", "left_anti")
-    named = unmatched.join(by_name, "group_name").select("group_name", "account_id", F.lit("name").alias("source"))
+    grouped = open_groups.join(by_group.hint("merge"), "group_name").select("group_name", "account_id", F.lit("group").alias("source"))
+    named = without_group(open_groups, by_group).join(by_name.hint("merge"), "group_name").select("group_name", "account_id", F.lit("name").alias("source"))
     return own.unionByName(grouped).unionByName(named).distinct()

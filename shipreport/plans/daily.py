@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shipreport.functions.text import col
 from shipreport.operators import runstate
-from shipreport.operators.lookups import accounts_by_pattern, explicit_accounts, group_accounts
+from shipreport.operators.lookups import accounts_by_pattern, explicit_accounts, group_accounts, without_group
 from shipreport.plans.periods import period_window
 from shipreport.plans.registry import Context
 from shipreport.plans.report import ReportConfig, build_report, expand_combined, touched_columns, write_report
@@ -132,7 +132,7 @@ def named_accounts(spark: SparkSession, configs: list[ReportConfig], ctx: Contex
     projects = ctx.ref("project_reference")
     wanted = spark.createDataFrame(sorted({(n,) for c in configs for n in _names(c)}), "group_name string").withColumn("account_id", F.lit(None).cast("string"))
     groups = group_accounts(projects)
-    return explicit_accounts(wanted, groups, accounts_by_pattern(projects, wanted.join(groups, "group_name", "left_anti")))
+    return explicit_accounts(wanted, groups, accounts_by_pattern(projects, without_group(wanted, groups)))
 
 
 def _contacts(config: ReportConfig) -> list[str]:

@@ -277,3 +277,23 @@ def test_accounts_by_pattern_equals_full_regex_and_has_no_product(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_accounts_of_reports_broadcast_no_account_table_or_name_index(spark, tmp_path):
+    from shipreport.operators import lookups
+
+    # a small file of many accounts: by its size alone Spark would broadcast what is made of it
+    spark.range(20_000).selectExpr("id as row_idx", "concat('', id) as CUST_ID", "concat('Customer#', lpad(cast(id as string), 9, '0')) as CUST_NAME",
+                                   "concat('G ', id % 50) as BIG_GROUPING_CUST").write.parquet(str(tmp_path / "p"))
+    projects = spark.read.parquet(str(tmp_path / "p"))
+    wanted = spark.createDataFrame([("G 3", None), ("CUSTOMER#00000012", None), ("G 4", "'7")], "group_name string, account_id string")
+    groups = lookups.group_accounts(projects)
+    unmatched = lookups.without_group(wanted.where("account_id is null").select("group_name"), groups)
+    got = lookups.explicit_accounts(wanted, groups, lookups.accounts_by_pattern(projects, unmatched))
+    rows = sorted(map(tuple, got.collect()))
+    assert [r for r in rows if r[2] == "explicit"] == [("G 4", "'7", "explicit")]
+    assert {r[1] for r in rows if r[2] == "group"} == {f"'{i}" for i in range(3, 20_000, 50)}
+    assert {r[1] for r in rows if r[2] == "name"} == {f"'{i}" for i in range(120, 130)}
+    fresh = lookups.explicit_accounts(wanted, groups, lookups.accounts_by_pattern(projects, unmatched))
+    lines = fresh._jdf.queryExecution().sparkPlan().toString().split("\n")
+    assert not [line for line in lines if "BroadcastHashJoin" in line or "NestedLoop" in line]
