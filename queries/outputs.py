@@ -240,7 +240,7 @@ def status_snapshot(spark, sf):
         F.expr(_report_name("user_id")).alias("name"), F.expr(_EVENT_STATUS).alias("STATUS_POD"))
     for _ in range(2):  # a second run of the day replaces the first
         outputs.append_snapshot(events, path, F.col("name"), AS_OF)
-    return spark.read.parquet(path).withColumn("as_of", F.col("as_of").cast("date"))
+    return spark.read.parquet(path).select("status", "n", F.col("as_of").cast("date").alias("as_of"), "report")
 
 
 @query("ledger_marked", """SELECT CAST(c_custkey AS STRING) AS key,

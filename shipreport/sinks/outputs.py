@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shipreport.functions.moments import month_label
 from shipreport.functions.text import blank_to_null, col, file_label, joined_list, strip_scheme
 from shipreport.operators.runstate import status_counts
 from shipreport.schema import NUMERIC_OUTPUT, URL_COLUMNS
+from shipreport.session import stored
 
 
 def clean_output(df: DataFrame) -> DataFrame:
@@ -130,9 +132,27 @@ def manifest(spark: SparkSession, path: str, labels: list[str]) -> DataFrame:
 
 def append_snapshot(df: DataFrame, path: str, report: Column | str, as_of) -> None:
     """Put the status counts of a day into the snapshot table; a second run of the day replaces its reports."""
-    counts = status_counts(df, report).withColumn("as_of", F.lit(as_of))
-    writer = counts.hint("rebalance", "as_of", "report").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("as_of", "report").parquet(path)
+    append_counts(status_counts(df, report), path, as_of)
+
+
+def append_counts(counts: DataFrame, path: str, as_of) -> None:
+    """Put (report, status, n) of a day into the snapshot table: one folder a day, however many reports.
+
+    The day's other reports are read back and written again with the new ones; a dynamic overwrite
+    puts the new folder in place only when it is whole.
+    """
+    rows = counts.select("report", "status", "n")
+    try:
+        old = counts.sparkSession.read.schema("report string, status string, n long").parquet(f"{path}/as_of={as_of.isoformat()}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        rows = stored(rows, "counts")
+        again = rows.select(F.col("report").alias("_again")).distinct()
+        rows = old.join(again.hint("merge"), F.col("report").eqNullSafe(F.col("_again")), "left_anti").unionByName(rows)
+    writer = rows.withColumn("as_of", F.lit(as_of)).hint("rebalance").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(path)
 
 
 def project_extract(table: DataFrame) -> DataFrame:

@@ -63,6 +63,16 @@ def test_snapshot_of_a_second_run(spark, tmp_path):
     assert found == {("1998-07-15", 4), ("1998-07-16", 3)}
 
 
+def test_snapshot_of_many_reports_is_one_folder_a_day(spark, tmp_path):
+    path = str(tmp_path / "s")
+    first = spark.range(1200).selectExpr("if(id % 300 = 7, null, concat('r', id % 300)) as name", "if(id % 2 = 0, 'Success', 'Undel') as STATUS_POD")
+    append_snapshot(first, path, F.col("name"), DAY)
+    append_snapshot(first.where("name is null or name in ('r1', 'r2')").limit(5), path, F.col("name"), DAY)
+    rows = {(r.report, r.status): r.n for r in spark.read.parquet(path).collect()}
+    assert len([x for x in (tmp_path / "s").rglob("*") if x.is_dir()]) == 1
+    assert len({r for r, _ in rows}) == 300 and sum(rows.values()) == 297 * 4 + 5 and rows["r8", "Success"] == 4
+
+
 def test_marked_keys(spark):
     old = spark.createDataFrame([("a", "1998-07-01"), ("b", "1998-07-15")], "key string, processed string")
     keys = spark.createDataFrame([("a",), ("c",), ("c",)], "key string")
