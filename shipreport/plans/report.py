@@ -281,5 +281,10 @@ def sorted_output(df: DataFrame, date_column: str = "TGL_ENTRY") -> DataFrame:
 
 
 def closed_first(df: DataFrame, *tie_break: Column) -> DataFrame:
-    """Closed shipments first, then by status."""
-    return df.orderBy(col("IS_CLOSE").desc(), col("STATUS_POD").asc_nulls_last(), *tie_break)
+    """Closed shipments first, then by status.
+
+    There are few statuses: a hash of the row ends the order, so that the rows of one status are
+    sorted by many tasks.
+    """
+    spread = F.pmod(F.xxhash64(*[col(name) for name, kind in df.dtypes if "map<" not in kind]), F.lit(4096)).cast("smallint")
+    return df.orderBy(col("IS_CLOSE").desc(), col("STATUS_POD").asc_nulls_last(), *tie_break, spread)

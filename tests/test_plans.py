@@ -73,6 +73,20 @@ def test_snapshot_of_many_reports_is_one_folder_a_day(spark, tmp_path):
     assert len({r for r, _ in rows}) == 300 and sum(rows.values()) == 297 * 4 + 5 and rows["r8", "Success"] == 4
 
 
+def test_closed_first_spreads_one_status(spark):
+    from shipreport.plans.report import closed_first
+
+    df = spark.range(0, 40_000, 1, 8).selectExpr("cast(id as string) as AWB", "if(id % 10 = 0, 'Success', 'Undel') as STATUS_POD", "if(id % 10 = 0, 'x', '') as IS_CLOSE")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = closed_first(df)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 10_000 and [r.IS_CLOSE for r in rows] == ["x"] * 4_000 + [""] * 36_000
+
+
 def test_marked_keys(spark):
     old = spark.createDataFrame([("a", "1998-07-01"), ("b", "1998-07-15")], "key string, processed string")
     keys = spark.createDataFrame([("a",), ("c",), ("c",)], "key string")
