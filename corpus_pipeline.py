@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from shipreport.llm import cotraining, near_dedup, sentencepieces, source_mixing, suffix_dedup  # noqa: E402
-from shipreport.llm.common import stored  # noqa: E402
-from shipreport.session import apply_settings  # noqa: E402
+from shipreport.llm.common import corpus_settings, stored  # noqa: E402
 
 #: Co-training and coding have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -24,20 +23,20 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the co-trained classifier accepts."""
-    apply_settings(spark)
+    corpus_settings(spark)
     model = cotraining.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return cotraining.score_quality(docs, model, tuple(docs.columns), only_kept=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 80 % of its runs of five words."""
-    apply_settings(spark)
+    corpus_settings(spark)
     return near_dedup.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 400 bytes that occur twice; those left without a word go."""
-    apply_settings(spark)
+    corpus_settings(spark)
     found = suffix_dedup.repeated_passages(docs, carry=tuple(c for c in docs.columns if c != "text"))
     left = F.col("kept").cast("string")
     made = found.select("row", "n_removed", F.when(F.col("n_removed") > 0, F.make_valid_utf8(left)).otherwise(left).alias("left"))
@@ -48,7 +47,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    apply_settings(spark)
+    corpus_settings(spark)
     return source_mixing.mixed_documents(docs)
 
 
@@ -56,7 +55,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document of the mix, and digests of them and of the decoded text."""
     import public_tokenizers
 
-    apply_settings(spark)
+    corpus_settings(spark)
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
         coded = sentencepieces.encode(docs, file.read())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

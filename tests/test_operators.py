@@ -297,3 +297,17 @@ def test_accounts_of_reports_broadcast_no_account_table_or_name_index(spark, tmp
     fresh = lookups.explicit_accounts(wanted, groups, lookups.accounts_by_pattern(projects, unmatched))
     lines = fresh._jdf.queryExecution().sparkPlan().toString().split("\n")
     assert not [line for line in lines if "BroadcastHashJoin" in line or "NestedLoop" in line]
+
+
+def test_packed_tables_are_not_broadcast_by_their_file_size(spark, tmp_path):
+    from queries.master import shipments
+
+    many = spark.range(0, 2_000_000, 1, 4)
+    many.selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    many.selectExpr("id as o_orderkey", "id as o_custkey", "id % 9 as o_x").write.parquet(str(tmp_path / "orders.parquet"))
+    many.selectExpr("id as l_orderkey", "cast(1 as int) as l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = shipments(spark, str(tmp_path), "AWB", "BIG_GROUPING_CUST")
+    lines = df._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in lines
+    joins = df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1:]
+    assert "o_custkey" in joins[1].split("\n")[0]  # customers meet the orders below the join of the lines
