@@ -113,7 +113,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words:
     spark = docs.sparkSession
     ship_code(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), words(F.col(text_col)).alias("w")).withColumn("u", F.monotonically_increasing_id())
-    rows = rows.select("u", "doc", F.size("w").cast("long").alias("n_words"), feature_buckets(F.col("w")).alias("b"))
+    # two passes read the buckets; cutting words and hashing features takes most of the time and is done once
+    rows = stored(rows.select("u", "doc", F.size("w").cast("long").alias("n_words"), feature_buckets(F.col("w")).alias("b")), "importance-buckets")
     aimed = target.select(feature_buckets(words(F.col(target_col))).alias("b"))
     gain = gains(histogram(rows, "b"), histogram(aimed, "b"))
     positive, negative = planes(np.maximum(gain, 0)), planes(np.maximum(-gain, 0))
