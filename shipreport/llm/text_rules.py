@@ -60,6 +60,13 @@ def repeated_words(hashes: Column, width: int) -> Column:
     return F.when(F.size(hashes) < width, 0).otherwise(let(F.transform(places, window), count)).cast("long")
 
 
+def common_words(words: Column) -> Column:
+    """How often each common word is among the words, in any case; words too long to be one are not lower-cased."""
+    longest = max(map(len, COMMON_WORDS))
+    found = F.transform(F.filter(words, lambda w: (F.length(w) <= longest) & F.lower(w).isin(*COMMON_WORDS)), F.lower)
+    return let(found, lambda m: F.transform(F.array(*[F.size(m) - F.size(F.array_remove(m, w)) for w in COMMON_WORDS]), lambda n: n.cast("long")))
+
+
 def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     """The base counts and both histograms of every row, from one pass over the texts."""
     lang = F.coalesce(docs[lang_col].cast("string"), F.lit(""))
@@ -67,18 +74,18 @@ def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
     rows = docs.select(docs[id_col].alias("id"), lang.alias("lang"), text.alias("text"))
     words = F.regexp_extract_all("text", F.lit(WORD), 0)
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
-    hits = F.regexp_extract_all(F.lower("text"), F.lit(rf"(?<![^\x20\x09-\x0D])(?:{'|'.join(COMMON_WORDS)})(?![^\x20\x09-\x0D])"), 0)
     counted = rows.select(
         "id", "lang",
         F.regexp_replace("text", GAPS, "").alias("solid"), F.length("text").alias("n_chars"),
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: repeated_words(h, 5)).alias("again"))).alias("w"),
+        let(words, lambda w: F.struct(
+            F.size(w).cast("long").alias("n"), let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: repeated_words(h, 5)).alias("again"),
+            common_words(w).alias("hits"))).alias("w"),
         let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
-        let(hits, lambda m: F.transform(F.array(*[F.size(m) - F.size(F.array_remove(m, w)) for w in COMMON_WORDS]), lambda n: n.cast("long"))).alias("hits"),
     )
     classes = [removed(F.col("solid"), p).cast("long") for p in CLASSES.values()]
     return counted.select(
         "id", "lang", F.col("w.n").alias("n_words"), F.length("solid").cast("long").alias("word_chars"), removed(F.col("solid"), SYMBOLS).cast("long").alias("n_symbols"),
-        "n_dup_lines", F.col("w.again").alias("n_repeat_words"), F.array(*classes).alias("classes"), "hits",
+        "n_dup_lines", F.col("w.again").alias("n_repeat_words"), F.array(*classes).alias("classes"), F.col("w.hits").alias("hits"),
     )
 
 
