@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from shipreport.functions.derive import calendar_week, service_family
 from shipreport.functions.text import col
-from shipreport.operators.lookups import attach
+from shipreport.operators.lookups import attach, one_row_per_key
+from shipreport.session import stored
 
 # Date bands of the workbook, upper bound and label.
 BANDS = [
@@ -30,19 +31,22 @@ def workbook(df: DataFrame, shippers: DataFrame, zones: DataFrame, codes: DataFr
 
     ``extras`` keeps the intermediate period texts and the three-way status group.
     """
-    df = attach(df, shippers, col("ID_ACCOUNT"), col("CUST_ID_2"), {"GROUPING_SHIPPER": "CUST_NAME_GROUPING"})
-    df = attach(df, zones, col("DEST"), col("DEST"),
-                {"DEST2": "3 LC", "DEST 3": "NAMA KAB/KOTA 2", "REGION": "REGION", "ZONA": "ZONA"})
+    # what several columns of the lines give is derived first, so the lookups move fewer columns
     status, entry = col("Status_Update"), col("TGL_ENTRY")
     reason = F.when(status.isin(RETURN_LIKE), F.coalesce(
         col("RESULT_LAST_ATTEMPT"), col("RESULT_2ND_ATTEMPT"), col("RESULT_1ST_ATTEMPT")))
-    df = df.withColumn("CODING RETURN", reason)
-    df = attach(df, codes, col("CODING RETURN"), col("Coding Undel"), {"REASON RETURN": "Remark_English"})
+    attempt = F.when(col("STATUS_POD") == "Success", F.coalesce(col("DATE_1ST_ATTEMPT"), col("TGL_RECEIVED")))
+    df = df.withColumns({"CODING RETURN": reason, "1ST ATTEMPT": attempt})
+    df = attach(df, shippers, col("ID_ACCOUNT"), col("CUST_ID_2"), {"GROUPING_SHIPPER": "CUST_NAME_GROUPING"})
+    df = attach(df, zones, col("DEST"), col("DEST"),
+                {"DEST2": "3 LC", "DEST 3": "NAMA KAB/KOTA 2", "REGION": "REGION", "ZONA": "ZONA"})
+    # one row a code, stored: the lines are not dealt out for a table whose size is not known
+    codes = stored(one_row_per_key(codes, col("Coding Undel"), {"Remark_English": "Remark_English"}, None), "codes")
+    df = attach(df, codes, col("CODING RETURN"), col("_k"), {"REASON RETURN": "Remark_English"}, unique=True)
     band = F.coalesce(*[F.when(entry <= F.lit(end).cast("timestamp"), label) for end, label in BANDS],
                       F.lit("CEK MANUAL"))
     nothing = F.lit(None).cast("string")
     df = df.withColumns({
-        "1ST ATTEMPT": F.when(col("STATUS_POD") == "Success", F.coalesce(col("DATE_1ST_ATTEMPT"), col("TGL_RECEIVED"))),
         "PERIODE": F.month(entry).cast("string"),
         "PERIODE LABEL": F.date_format(entry, "M.MMMM yyyy"),
         "PERIODE WEEK": F.concat(F.lit("WEEK "), calendar_week(entry).cast("string")),
