@@ -9,8 +9,9 @@ in chunks. Within a region the full shingle sets decide, in matrix blocks, and a
 only the links of a spanning forest. Components come from those links.
 
 Hubs and longer prefixes join most of a crowded region. Where its nodes are then still in several
-components, an exact join settles the rest: of two sets that are similar enough, the rarest shingles
-have one in common (prefix filter), and all pairs of different components that do are compared.
+components, they are dealt into blocks, and all blocks that hold different components are compared
+in pairs. In very large regions only blocks and nodes meet that can hold a link: of two sets that
+are similar enough, the rarest shingles have one in common (prefix filter).
 
 So a link of similarity 0.85 is missed only if no region holds it, with a chance of 2e-8.
 """
@@ -31,10 +32,12 @@ from .common import documents, keyed, mix, query, ship_code, shingle_sets, steps
 
 #: Values of a signature, sorted orders of it, and the values a region shares at first.
 VALUES, ORDERS, DEPTH = 96, 24, 4
-#: Depths a crowded region grows through.
-DEEPER = (6, 9, 13, 19, 28, 42, 64, 96)
+#: Depths a crowded region grows through, in two rounds.
+DEEPER = ((6, 9, 13, 19), (28, 42, 64, 96))
 #: Nodes, and shingles of them in all, that one comparison holds at most; nodes of a chunk that meets a hub.
 NODES, SHINGLES, CHUNK = 512, 4_000_000, 256
+#: Nodes of a region whose blocks of CHUNK all meet; nodes of a shingle that are paired one by one.
+WHOLE, FEW = 4096, 16
 #: Shingles hashed at once for a signature.
 BLOCK = 1 << 12
 
@@ -83,12 +86,11 @@ def prefix(order: int, depth: int):
     return F.xxhash64(F.lit(order), *[F.get("signature", (order * DEPTH + k) % VALUES) for k in range(depth)])
 
 
-def at_depth(depth: int):
-    """The prefix hash at a depth by the order in the column."""
-    options = None
-    for order in range(ORDERS):
-        options = (F.when if options is None else options.when)(F.col("tree") == order, prefix(order, depth))
-    return options
+def deeper(depths: tuple[int, ...]):
+    """(level, up, key) for each depth: the hash of the first `depth` values of the order in `tree`, and that of the depth before."""
+    around = F.slice(F.concat("signature", "signature"), F.col("tree") * DEPTH + 1, F.lit(VALUES))
+    keys = [F.col("key"), *[F.xxhash64("tree", F.slice(around, 1, d)) for d in depths]]
+    return F.explode(F.array(*[F.struct(F.lit(i).alias("level"), keys[i].alias("up"), keys[i + 1].alias("key")) for i in range(len(depths))]))
 
 
 def counted(members: DataFrame) -> DataFrame:
@@ -104,17 +106,18 @@ def distinct_groups(found: DataFrame) -> DataFrame:
 
 
 def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(region, node): the groups whose members are compared with one another; (tree, key, node): those of crowded regions."""
+    """(region, node): the groups whose members are compared with one another; (tree, key, size, node, n_shingles): those of crowded regions."""
     trees = F.explode(F.array(*[F.struct(F.lit(o).alias("tree"), prefix(o, DEPTH).alias("key")) for o in range(ORDERS)]))
     placed = nodes.select("node", "n_shingles", trees.alias("x")).select("node", "n_shingles", "x.*")
     fits = (F.col("size") <= NODES) & (F.col("shingles") <= SHINGLES)
     found = cut(counted(placed))
     once = distinct_groups(found.where(fits))
     groups = [placed.join(once, ["tree", "key"]).select(F.xxhash64("tree", "key").alias("region"), "node")]
-    crowded = found.where(~fits)
+    # small tables are stored: Spark then knows their size and doesn't deal out all nodes to meet them
+    crowded = stored(found.where(~fits).select("tree", "key", "size"), "crowded")
     if crowded.isEmpty():
         return groups[0], None
-    inside = cut(placed.join(crowded.select("tree", "key", "size"), ["tree", "key"]))
+    inside = stored(placed.join(crowded, ["tree", "key"]), "inside")
     weight = inside.groupBy("node").agg(F.sum("size").alias("weight"))
     hubs = inside.join(weight, "node").groupBy("tree", "key").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"), F.first("size").alias("size"))
     hubs = cut(hubs.withColumn("chunks", F.ceil(F.col("size") / CHUNK)))
@@ -124,16 +127,25 @@ def regions(nodes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     chunk = F.xxhash64(F.lit("hub"), "hub", F.pmod(F.xxhash64("node"), "chunks"))
     groups.append(meets.where("hub <> node").select(chunk.alias("region"), "node"))
     groups.append(spread.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("c")).select(F.xxhash64(F.lit("hub"), "hub", "c").alias("region"), F.col("hub").alias("node")))
-    rest = inside.drop("size")
-    for depth in DEEPER:
-        deep = cut(rest.join(nodes.select("node", "signature"), "node").withColumn("key", at_depth(depth)).drop("signature"))
-        found = cut(counted(deep))
-        once = distinct_groups(found.where(fits))
-        groups.append(deep.join(once, ["tree", "key"]).select(F.xxhash64("tree", "key", F.lit(depth)).alias("region"), "node"))
-        crowded = found.where(~fits)
+    signatures = nodes.select("node", "signature").join(inside.select("node").distinct(), "node", "left_semi")
+    rest = cut(inside.select("tree", "key", "node", "n_shingles").join(signatures, "node"))
+    for depths in DEEPER:
+        deep = cut(rest.select("tree", "node", "n_shingles", deeper(depths).alias("x")).select("tree", "node", "n_shingles", "x.*"))
+        found = deep.groupBy("tree", "level", "key").agg(F.any_value("up").alias("up"), F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"),
+                                                         F.bit_xor("node").alias("_a"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_b")).where("size > 1")
+        found = cut(found)
+        crowded = found.where(~fits).select("tree", "level", "key")
+        # inside a group that fits, deeper ones give nothing new
+        above = crowded.select("tree", (F.col("level") + 1).alias("level"), F.col("key").alias("up"))
+        first = found.where(fits).join(above, ["tree", "level", "up"], "left_semi").unionByName(found.where(fits & (F.col("level") == 0)))
+        place = F.struct("tree", "level", "key")
+        once = first.groupBy("size", "_a", "_b").agg(F.min(place).alias("x")).select("x.*")
+        groups.append(deep.join(once, ["tree", "level", "key"]).select(F.xxhash64("tree", "key", F.lit(depths[0]), "level").alias("region"), "node"))
+        crowded = crowded.where(F.col("level") == len(depths) - 1)
         if crowded.isEmpty():
             break
-        rest = deep.join(crowded.select("tree", "key"), ["tree", "key"])
+        last = deep.join(crowded, ["tree", "level", "key"]).select("tree", "key", "node", "n_shingles")
+        rest = last.join(rest.select("tree", "node", "signature"), ["tree", "node"])
     out = groups[0]
     for more in groups[1:]:
         out = out.unionAll(more)
@@ -183,7 +195,7 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b): links that join a region's similar nodes, confirmed on the full sets."""
-    wanted = groups.select("node").distinct().join(nodes.select("node", "rep_d", "rep_t"), "node")
+    wanted = nodes.select("node", "rep_d", "rep_t").join(groups.select("node"), "node", "left_semi")
     texts = docs.select("d", "t", "text").join(wanted, (F.col("d") == F.col("rep_d")) & (F.col("t") == F.col("rep_t"))).select("node", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,19 +244,60 @@ def links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, perc
     return sorted_.mapInArrow(compare, "a long, b long").distinct()
 
 
-def rare_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, roots: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """(region, node): a node with those of other components it can be similar to, in chunks; nodes of crowded regions.
+def dealt(open_: DataFrame) -> DataFrame:
+    """(node, block): nodes of several components in blocks of about CHUNK, those of one component and region together."""
+    home = open_.groupBy("node").agg(F.first("root").alias("root"), F.first("n_shingles").alias("n_shingles"), F.max(F.struct("size", "tree", "key")).alias("home"))
+    parts = home.groupBy("home", "root").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("shingles"))
+    chunks = F.ceil(F.greatest(F.col("size") / CHUNK, F.col("shingles") / (SHINGLES / 2)))
+    parts, large = parts.withColumn("chunks", chunks), F.col("chunks") > 1
+    small = parts.where(~large).groupBy("home").agg(F.sum("size").alias("size"), F.sum("shingles").alias("shingles")).select("home", chunks.alias("all_small"))
+    parts = parts.join(small, "home", "left").select("home", "root", "chunks", "all_small")
+    block = F.when(large, F.xxhash64("home", "root", F.pmod(F.xxhash64("node"), "chunks"))).otherwise(F.xxhash64("home", F.pmod(F.xxhash64("root"), "all_small")))
+    return stored(home.join(parts, ["home", "root"]).select("node", block.alias("block")), "blocks")
 
-    Shingles are ordered from rare to frequent. If a and b have percent/100 of their union in common and
-    a isn't larger, one of the first |a| - ceil(2 p |a| / (100 + p)) + 1 of a is among the first
-    |b| - ceil(p |b| / 100) + 1 of b. What all texts of a template share lies behind these.
+
+def mixed_blocks(cells: DataFrame, *by: str) -> DataFrame:
+    """(x, y): blocks that meet under a key and are not of one component there; a block with itself, too."""
+    a, b = (cells.select(*by, *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high")]) for side in "xy")
+    return a.join(b, list(by)).where("block_x <= block_y and (low_x <> high_x or low_x <> low_y or low_y <> high_y)").select(F.col("block_x").alias("x"), F.col("block_y").alias("y")).distinct()
+
+
+def open_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, roots: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """(region, node): what is left to compare, nodes of one crowded region in different components, as pairs of blocks.
+
+    A set travels once for each block its own meets, not for each pair. In regions of up to WHOLE nodes
+    all blocks meet that are not of one component; in larger ones, those the rare shingles lead to.
     """
     rooted = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("tree", "key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("tree", "key")
-    open_ = cut(rooted.join(several, ["tree", "key"], "left_semi").select("node", "root").distinct())
+    open_ = stored(rooted.join(several, ["tree", "key"], "left_semi"), "open")
     if open_.isEmpty():
         return None
-    wanted = open_.join(nodes.select("node", "rep_d", "rep_t", F.col("n_shingles").alias("n")), "node")
+    blocks = dealt(open_)
+    ends = (F.min("root").alias("low"), F.max("root").alias("high"))
+    met = mixed_blocks(open_.where(F.col("size") <= WHOLE).join(blocks, "node").groupBy("tree", "key", "block").agg(*ends), "tree", "key")
+    vast = stored(open_.where(F.col("size") > WHOLE).select("node", "root", F.col("n_shingles").alias("n")).distinct().join(blocks, "node"), "vast")
+    apart = None
+    if not vast.isEmpty():
+        behind, small = rare_shingles(docs, nodes, vast, width, percent)
+        met = met.union(mixed_blocks(behind.where(F.col("often") > FEW).groupBy("shingle", "block").agg(*ends), "shingle"))
+        a, b = (x.where(F.col("often") <= FEW).select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n", "block")]) for x, side in ((small, "a"), (behind, "b")))
+        pairs = a.join(b, "shingle").where(f"root_a <> root_b and (n_a < n_b or n_a = n_b and node_a < node_b) and 100 * n_a >= {percent} * n_b")
+        apart = pairs.select(F.least("block_a", "block_b").alias("x"), F.greatest("block_a", "block_b").alias("y"), F.explode(F.array("node_a", "node_b")).alias("node"))
+    met = met.distinct().select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+    out = met.join(blocks, "block").select("x", "y", "node")
+    out = out if apart is None else out.union(apart).distinct()
+    return out.select(F.xxhash64(F.lit("blocks"), "x", "y").alias("region"), "node")
+
+
+def rare_shingles(docs: DataFrame, nodes: DataFrame, vast: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(shingle, node, root, n, block, place, often) that two similar sets of different components share one of; those of the smaller set.
+
+    Shingles are ordered from rare to frequent. If a and b have percent/100 of their union in common and
+    a isn't larger, one of the first |a| - ceil(2 p |a| / (100 + p)) + 1 of a is among the first
+    |b| - ceil(p |b| / 100) + 1 of b. What all texts of a template share lies behind these.
+    """
+    wanted = stored(nodes.select("node", "rep_d", "rep_t").join(vast.select("node"), "node", "left_semi"), "wanted")
     texts = docs.select("d", "t", "text").join(wanted, (F.col("d") == F.col("rep_d")) & (F.col("t") == F.col("rep_t"))).select("node", "text").dropDuplicates(["node"])
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,20 +310,13 @@ def rare_pairs(docs: DataFrame, nodes: DataFrame, crowded: DataFrame, roots: Dat
     every = stored(texts.mapInArrow(explode, "node long, shingle long"), "shingles")
     often = every.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
     # shingles of one node are its rarest and find nothing: they only take places
-    ranked = every.join(often, "shingle", "left").withColumn("often", F.coalesce("often", F.lit(1)))
-    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))).where("often > 1")
-    ranked = ranked.join(wanted.select("node", "root", "n"), "node")
-    behind = ranked.where(f"place <= n - ceil({percent} * n / 100D - 1e-9) + 1")
-    mixed = behind.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("shingle")
-    behind = stored(behind.join(mixed, "shingle", "left_semi").select("shingle", "node", "root", "n", "place"), "rare")
-    small = behind.where(f"place <= n - ceil(2D * {percent} * n / (100 + {percent}) - 1e-9) + 1")
-    a, b = (x.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n")]) for x, side in ((small, "a"), (behind, "b")))
-    pairs = a.join(b, "shingle").where(f"root_a <> root_b and (n_a < n_b or n_a = n_b and node_a < node_b) and 100 * n_a >= {percent} * n_b").select("node_a", "node_b").distinct()
-    pairs = stored(pairs, "pairs")
-    counts = pairs.groupBy("node_a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    chunk = F.xxhash64(F.lit("rare"), "node_a", F.pmod(F.xxhash64("node_b"), "chunks"))
-    met = pairs.join(counts, "node_a").select(chunk.alias("region"), "node_a", "node_b")
-    return met.select("region", F.explode(F.array("node_a", "node_b")).alias("node")).distinct()
+    ranked = every.join(often, "shingle").join(vast, "node")
+    window = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(window) + F.row_number().over(window.orderBy("often", "shingle"))
+    behind = ranked.withColumn("place", place).where(f"place <= n - ceil({percent} * n / 100D - 1e-9) + 1").drop("often")
+    mixed = behind.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count("*").alias("often")).where("_a <> _b").select("shingle", "often")
+    behind = stored(behind.join(mixed, "shingle"), "rare")
+    return behind, behind.where(f"place <= n - ceil(2D * {percent} * n / (100 + {percent}) - 1e-9) + 1")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -322,9 +368,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     else:
         found = stored(found, "links")
         roots = components(found)
-        rest = rare_pairs(rows, nodes, crowded, roots, width, percent)
+        rest = open_pairs(rows, nodes, crowded, roots, width, percent)
         if rest is not None:
-            roots = components(found.unionAll(links(rows, nodes, stored(rest, "rest"), width, percent)))
+            few = nodes.select("node", "rep_d", "rep_t").join(crowded.select("node"), "node", "left_semi")
+            roots = components(found.unionAll(links(rows, stored(few, "few"), stored(rest, "rest"), width, percent)))
     named = nodes.select("name", "node", "first").join(roots, "node", "left").select("name", "first", F.coalesce("root", "node").alias("root"))
     best = named.groupBy("root").agg(F.min("first").alias("component"))
     labels = named.join(best, "root").select("name", "root", "component")
