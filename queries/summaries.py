@@ -8,7 +8,7 @@ from queries.master import PROJECTS, projects, shipments, view_sql
 from queries.registry import query, table
 from shipreport.functions.text import col
 from shipreport.operators import lookups
-from shipreport.operators.pivots import Measure, Pivot, pivot_long, pivot_totals, pivot_wide
+from shipreport.operators.pivots import Measure, Pivot, in_one_month, pivot_long, pivot_totals, pivot_wide
 from shipreport.operators.profile import column_rules, normalise_dates, parse_report, profile_dates
 from shipreport.plans.presets import PRESETS
 from shipreport.session import stored
@@ -176,9 +176,9 @@ def _preset_sql() -> str:
 def pivot_presets(spark, sf):
     # As in a report run, the pivots read the stored report, each its own columns.
     df = stored(shipments(spark, sf, *_PRESET_COLUMNS).withColumns({c: F.expr(e) for c, e in _DERIVED.items()}), "presets")
-    whole = None
+    whole, one_month = None, in_one_month(df)
     for name, p in _PRESETS_HERE:
-        long = pivot_long(df, p)
+        long = pivot_long(df, p, one_month)
 
         def member(fields):
             return F.concat_ws(" | ", *[F.coalesce(col(f).cast("string"), F.lit("(blank)")) for f in fields])

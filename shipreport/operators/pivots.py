@@ -106,11 +106,20 @@ class _Parts:
         return F.col(self.names[m.kind, m.field])
 
 
-def _base(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[str], _Parts]:
+def in_one_month(df: DataFrame) -> Column | None:
+    """Whether all entries of a sheet lie in one month: asked once for the pivots of a stored sheet."""
+    if "TGL_ENTRY" not in df.columns:
+        return None
+    month = F.trunc(col("TGL_ENTRY"), "month")
+    return df.agg((F.min(month) == F.max(month)).alias("one")).scalar()
+
+
+def _base(df: DataFrame, pivot: Pivot, one_month: Column | None = None) -> tuple[DataFrame, list[str], list[str], _Parts]:
     """Aggregated parts per member combination; date fields become days, or months over several months.
 
-    Dates are first aggregated by day. Whether all entries lie in one month is
-    then read from those few rows, so the facts are not computed a second time.
+    With one_month the facts are aggregated by the shown members at once. Without it dates
+    are first aggregated by day, and whether all entries lie in one month is then read from
+    those rows, so the facts are not computed a second time.
     """
     source, rows, columns = _filtered(df, pivot)
     parts = _Parts([m for m in pivot.values if m.field in df.columns])
@@ -118,6 +127,13 @@ def _base(df: DataFrame, pivot: Pivot) -> tuple[DataFrame, list[str], list[str],
     if not dates:
         return source.groupBy(*map(col, rows + columns)).agg(*parts.first()), rows, columns, parts
 
+    if one_month is not None:
+        members = [
+            F.when(one_month, F.to_date(col(c))).otherwise(F.trunc(col(c), "month")).alias(c) if c in dates else col(c)
+            for c in rows + columns
+        ]
+        return source.groupBy(*members).agg(*parts.first()), rows, columns, parts
+
     keys = [F.to_date(col(c)).alias(c) if c in dates else col(c) for c in rows + columns]
     if "TGL_ENTRY" not in df.columns:
         base, one_month = source.groupBy(*keys).agg(*parts.first()), F.lit(False)
@@ -147,9 +163,12 @@ def _join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(named, same).drop(*[f"_t{i}" for i in range(len(keys))])
 
 
-def pivot_long(df: DataFrame, pivot: Pivot) -> DataFrame:
-    """One row per row-and-column member combination with every measure."""
-    base, rows, columns, parts = _base(df, pivot)
+def pivot_long(df: DataFrame, pivot: Pivot, one_month: Column | None = None) -> DataFrame:
+    """One row per row-and-column member combination with every measure.
+
+    one_month: the answer of `in_one_month` for df, where several pivots of one sheet share it.
+    """
+    base, rows, columns, parts = _base(df, pivot, one_month)
     measures = [m for m in pivot.values if m.field in df.columns]
     out = base
     shown: dict[str, Column] = {m.label: parts.value(m) for m in measures if not m.percent_of}

@@ -44,6 +44,7 @@ def test_crowd_of_several_components(spark, monkeypatch, small_blocks, whole, fe
 
 
 def test_sets_travel_once_a_block(spark, monkeypatch, small_blocks):
+    monkeypatch.setattr(near_dedup, "CHUNK", 64)
     sent = {}
     real = near_dedup.stored
 
