@@ -1,4 +1,4 @@
-"""The corpus pipeline: five stages over documents, each one of the corpus operators.
+"""The corpus pipeline: six stages over documents, each one of five corpus operators.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps; its result is written as
 Parquet and read again as the next one's docs.
@@ -34,10 +34,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dedup.one_of_each(docs)
 
 
+def passages_of_words(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of 50 words that occur twice; those left without a word go."""
+    return _without_passages(spark, docs, words_span=50)
+
+
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 400 bytes that occur twice; those left without a word go."""
+    return _without_passages(spark, docs)
+
+
+def _without_passages(spark: SparkSession, docs: DataFrame, **passage: int) -> DataFrame:
     corpus_settings(spark)
-    found = suffix_dedup.repeated_passages(docs, carry=tuple(c for c in docs.columns if c != "text"))
+    found = suffix_dedup.repeated_passages(docs, carry=tuple(c for c in docs.columns if c != "text"), **passage)
     left = F.col("kept").cast("string")
     made = found.select("row", "n_removed", F.when(F.col("n_removed") > 0, F.make_valid_utf8(left)).otherwise(left).alias("left"))
     made = made.where((F.col("n_removed") == 0) | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
@@ -65,6 +74,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality),
     ("near duplicates", near_duplicates),
+    ("passages of 50 words", passages_of_words),
     ("repeated passages", repeated_passages),
     ("source mix", source_mix),
     ("token ids", token_ids),
