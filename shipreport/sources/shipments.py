@@ -10,7 +10,7 @@ from shipreport.functions.moments import MONTHS
 from shipreport.functions.predicates import account_in, date_window, status_in, stored_account_in
 from shipreport.functions.text import account_id, account_key, col, upper_header
 from shipreport.operators.projection import normalise_headers, present_columns
-from shipreport.session import apply_settings
+from shipreport.session import apply_settings, in_slices
 
 # Partition columns. The master has a CATEGORY column of its own, so the folder
 # key carries another name; a folder key named like a column would replace it.
@@ -27,7 +27,11 @@ def months_between(start: date, end: date) -> list[tuple[int, int]]:
 
 
 def write_shipments(df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
-    """Store the master by year, month and category, account ids in one spelling (one apostrophe, no padding)."""
+    """Store the master by year, month and category, account ids in one spelling (one apostrophe, no padding).
+
+    Rows with waybills are stored slice by slice, so the wide rows are never all in shuffle files
+    at a time; ``_SUCCESS`` is written with the last slice.
+    """
     if "ID_ACCOUNT" in df.columns:
         df = df.withColumn("ID_ACCOUNT", F.concat(F.lit("'"), account_id(col("ID_ACCOUNT"))))
     df = df.withColumns({
@@ -35,8 +39,13 @@ def write_shipments(df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", categ
         MONTH: F.date_format(col(entry), "MM"),
         CATEGORY: col(category),
     })
-    # Rebalancing splits a large folder over several tasks and merges small ones.
-    df.hint("rebalance", YEAR, MONTH, CATEGORY).write.mode("overwrite").partitionBy(YEAR, MONTH, CATEGORY).parquet(root)
+
+    def write(rows: DataFrame, first: bool, last: bool) -> None:
+        # Rebalancing splits a large folder over several tasks and merges small ones.
+        writer = rows.hint("rebalance", YEAR, MONTH, CATEGORY).write.mode("overwrite" if first else "append")
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower()).partitionBy(YEAR, MONTH, CATEGORY).parquet(root)
+
+    in_slices(df, "AWB", write)
 
 
 def write_bucketed_shipments(df: DataFrame, table: str, *, buckets: int = 64, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
