@@ -7,9 +7,10 @@ Nulls are put in by rule because the given tables have none.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from queries.registry import table
 
@@ -169,8 +170,8 @@ def view_sql(*columns: str) -> str:
     return f"SELECT {shown} FROM lineitem {joins}"
 
 
-def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The master with these columns. Customers join the orders first: the wide lines are dealt out once for both."""
+def joined(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The tables these columns are made of. Customers join the orders first: the wide lines are dealt out once for both."""
     used, df = _tables(list(columns)), table(spark, sf_dir, "lineitem")
     if "o" in used:
         orders = table(spark, sf_dir, "orders")
@@ -179,7 +180,22 @@ def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if "p" in used:
         df = df.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return df.select(*[F.expr(COLUMNS[c][1]).alias(c) for c in columns])
+    return df
+
+
+def made(*columns: str) -> dict[str, Column]:
+    """These columns as expressions over the joined tables."""
+    return {c: F.expr(COLUMNS[c][1]) for c in columns}
+
+
+def sources(*columns: str) -> list[str]:
+    """The table columns that these columns are made of."""
+    return sorted(set(re.findall(r"\b[locp]_[a-z]+\b", " ".join(COLUMNS[c][1] for c in columns))))
+
+
+def shipments(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The master with these columns."""
+    return joined(spark, sf_dir, *columns).select(*[e.alias(c) for c, e in made(*columns).items()])
 
 
 def reference(source: str, columns: dict[str, str]) -> tuple:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from queries.derived import _CAL, _aging_sql, _flag_sql, _STATUS_COLUMNS, CALENDAR, STATUS_STEPS
 from queries.enrichment import _LIST_SQL, _NAMED, _PATCHED, listing, patch_table
-from queries.master import AS_OF, PROJECTS, UNDEL_CODES, ZONES, pick, projects, shipments, undel_codes, view_sql, zones
+from queries.master import (
+    AS_OF, PROJECTS, UNDEL_CODES, ZONES, joined, made, pick, projects, shipments, sources, undel_codes, view_sql, zones)
 from queries.registry import query, table
 from shipreport.functions.text import col
 from shipreport.operators import runstate
@@ -340,12 +341,14 @@ SELECT AWB, ID_ACCOUNT, TGL_ENTRY, CONSIGNEE_NAME, NOREF, ORIGIN, r.DEST, SERVIC
     AS "STATUS_POD3"
 FROM r LEFT JOIN g ON ID_ACCOUNT = g.k LEFT JOIN z ON r.DEST = z.DEST LEFT JOIN u ON reason = u.k""")
 def monthly_workbook(spark, sf):
-    df = shipments(spark, sf, *_BOOK).withColumn(
-        "Status_Update", F.when(col("STATUS_POD") == "RU Shipper/Origin", "RU Origin").otherwise(col("STATUS_POD")))
+    keys = ["AWB", "ID_ACCOUNT", "DEST"]
+    rest = [c for c in _BOOK if c not in keys]
+    df, late = joined(spark, sf, *_BOOK).select(*[e.alias(c) for c, e in made(*keys).items()], *sources(*rest)), made(*rest)
+    late["Status_Update"] = F.when(late["STATUS_POD"] == "RU Shipper/Origin", "RU Origin").otherwise(late["STATUS_POD"])
     shippers = table(spark, sf, "customer").select(
         F.concat(F.lit("'"), F.col("c_custkey").cast("string")).alias("CUST_ID_2"),
         F.col("c_mktsegment").alias("CUST_NAME_GROUPING"))
-    return workbook(df, shippers, zones(spark, sf), undel_codes(spark, sf), extras=True)
+    return workbook(df, shippers, zones(spark, sf), undel_codes(spark, sf), extras=True, late=late)
 
 
 # ---- whole reports ---------------------------------------------------------
@@ -513,7 +516,8 @@ def daily_run(spark, sf):
     from shipreport.sources.shipments import write_shipments
 
     root = fresh_path(spark, "master")
-    write_shipments(shipments(spark, sf, *_REPORT_COLUMNS, "CATEGORY"), root)
+    stored = [*_REPORT_COLUMNS, "CATEGORY"]
+    write_shipments(joined(spark, sf, *stored), root, columns=made(*stored))
     ledger = spark.createDataFrame([("SUDAH", AS_OF.isoformat()), ("LAMA", "1998-07-10")], "key string, processed string")
     done = run(spark, _DAILY, root, fresh_path(spark, "outputs"), fresh_path(spark, "snapshots"),
                Context(AS_OF, {"project_reference": projects(spark, sf)}, CALENDAR), RunInputs(ledger))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shipreport.functions.derive import calendar_week, service_family
 from shipreport.functions.text import col
 from shipreport.operators.lookups import attach, one_row_per_key
-from shipreport.session import stored
+from shipreport.session import fresh_path, in_slices, stored
 
 # Date bands of the workbook, upper bound and label.
 BANDS = [
@@ -26,20 +26,46 @@ LAYOUT = [
 ]
 
 
-def workbook(df: DataFrame, shippers: DataFrame, zones: DataFrame, codes: DataFrame, *, extras: bool = False) -> DataFrame:
+def with_references(df: DataFrame, shippers: DataFrame, zones: DataFrame) -> DataFrame:
+    """The lines with shipper group and destination, stored slice by slice.
+
+    Two lookups deal out the wide lines; in one plan the shuffle files of both, and of all that the
+    lines come from, would lie on disk until the sheet is written.
+    """
+    group = {"GROUPING_SHIPPER": "CUST_NAME_GROUPING"}
+    place = {"DEST2": "3 LC", "DEST 3": "NAMA KAB/KOTA 2", "REGION": "REGION", "ZONA": "ZONA"}
+    shippers = stored(one_row_per_key(shippers, col("CUST_ID_2"), group, None), "shippers")
+    zones = stored(one_row_per_key(zones, col("DEST"), place, None), "zones")
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        rows = attach(rows, shippers, col("ID_ACCOUNT"), col("_k"), {c: c for c in group}, unique=True)
+        return attach(rows, zones, col("DEST"), col("_k"), {c: c for c in place}, unique=True)
+
+    path = fresh_path(df.sparkSession, "workbook")
+    in_slices(df, col("AWB") if "AWB" in df.columns else None, lambda rows, first, last: looked_up(rows).write.mode("append").parquet(path))
+    return df.sparkSession.read.schema(looked_up(df).schema).parquet(path)
+
+
+def workbook(
+    df: DataFrame, shippers: DataFrame, zones: DataFrame, codes: DataFrame, *, extras: bool = False, late: dict[str, Column] | None = None,
+) -> DataFrame:
     """Expects typed columns and the status under Status_Update.
 
-    ``extras`` keeps the intermediate period texts and the three-way status group.
+    ``extras`` keeps the intermediate period texts and the three-way status group. ``late`` gives columns
+    that no lookup needs as expressions over ``df``; they are made after the lines were dealt out.
     """
-    # what several columns of the lines give is derived first, so the lookups move fewer columns
     status, entry = col("Status_Update"), col("TGL_ENTRY")
     reason = F.when(status.isin(RETURN_LIKE), F.coalesce(
         col("RESULT_LAST_ATTEMPT"), col("RESULT_2ND_ATTEMPT"), col("RESULT_1ST_ATTEMPT")))
     attempt = F.when(col("STATUS_POD") == "Success", F.coalesce(col("DATE_1ST_ATTEMPT"), col("TGL_RECEIVED")))
-    df = df.withColumns({"CODING RETURN": reason, "1ST ATTEMPT": attempt})
-    df = attach(df, shippers, col("ID_ACCOUNT"), col("CUST_ID_2"), {"GROUPING_SHIPPER": "CUST_NAME_GROUPING"})
-    df = attach(df, zones, col("DEST"), col("DEST"),
-                {"DEST2": "3 LC", "DEST 3": "NAMA KAB/KOTA 2", "REGION": "REGION", "ZONA": "ZONA"})
+    derived = {"CODING RETURN": reason, "1ST ATTEMPT": attempt}
+    if late:
+        df = with_references(df, shippers, zones).withColumns(late).withColumns(derived)
+    else:
+        # what several columns of the lines give is derived first, so the lookups move fewer columns
+        shown = {c.upper() for c in (*LAYOUT, "Status_Update")}
+        df = df.withColumns(derived)
+        df = with_references(df.select(*[col(c) for c in df.columns if c.upper() in shown]), shippers, zones)
     # one row a code, stored: the lines are not dealt out for a table whose size is not known
     codes = stored(one_row_per_key(codes, col("Coding Undel"), {"Remark_English": "Remark_English"}, None), "codes")
     df = attach(df, codes, col("CODING RETURN"), col("_k"), {"REASON RETURN": "Remark_English"}, unique=True)

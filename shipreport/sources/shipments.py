@@ -26,26 +26,29 @@ def months_between(start: date, end: date) -> list[tuple[int, int]]:
     return out
 
 
-def write_shipments(df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
+def write_shipments(
+    df: DataFrame, root: str, *, entry: str = "TGL_ENTRY", category: str = "CATEGORY", columns: dict[str, Column] | None = None,
+) -> None:
     """Store the master by year, month and category, account ids in one spelling (one apostrophe, no padding).
 
-    Rows with waybills are stored slice by slice, so the wide rows are never all in shuffle files
+    ``columns`` are the columns to store, made of those of ``df`` after the rows were dealt to the write
+    tasks, so texts made of a few numbers are not shuffled; by default ``df`` is stored as it is.
+    Rows with waybills are stored slice by slice, so the rows are never all in shuffle files
     at a time; ``_SUCCESS`` is written with the last slice.
     """
-    if "ID_ACCOUNT" in df.columns:
-        df = df.withColumn("ID_ACCOUNT", F.concat(F.lit("'"), account_id(col("ID_ACCOUNT"))))
-    df = df.withColumns({
-        YEAR: F.date_format(col(entry), "yyyy"),
-        MONTH: F.date_format(col(entry), "MM"),
-        CATEGORY: col(category),
-    })
+    columns = dict(columns or {c: col(c) for c in df.columns if c.lower() not in (YEAR, MONTH, CATEGORY)})
+    when = columns.get(entry, col(entry))
+    folder = {YEAR: F.date_format(when, "yyyy"), MONTH: F.date_format(when, "MM"), CATEGORY: columns.get(category, col(category))}
+    if "ID_ACCOUNT" in columns:
+        columns["ID_ACCOUNT"] = F.concat(F.lit("'"), account_id(columns["ID_ACCOUNT"]))
 
     def write(rows: DataFrame, first: bool, last: bool) -> None:
         # Rebalancing splits a large folder over several tasks and merges small ones.
-        writer = rows.hint("rebalance", YEAR, MONTH, CATEGORY).write.mode("overwrite" if first else "append")
-        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower()).partitionBy(YEAR, MONTH, CATEGORY).parquet(root)
+        rows = rows.withColumns(folder).hint("rebalance", *folder)
+        writer = rows.select(*[c.alias(name) for name, c in columns.items()], *folder).write.mode("overwrite" if first else "append")
+        writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(last).lower()).partitionBy(*folder).parquet(root)
 
-    in_slices(df, "AWB", write)
+    in_slices(df, columns.get("AWB"), write)
 
 
 def write_bucketed_shipments(df: DataFrame, table: str, *, buckets: int = 64, entry: str = "TGL_ENTRY", category: str = "CATEGORY") -> None:
